@@ -40,7 +40,7 @@ def assemble(line: str) -> str:
         m = PIECE.match(line, at)
         if m["quoted"] is not None:
             after = m["after"].strip(BLANK)
-            if after.startswith('"'):  # the reader would take it for a doubled quote, which this format has not
+            if after[:1] in ('"', "\n"):  # the reader would take these for a doubled quote, which this format has not, and a new record
                 raise csv.Error("text after a closing quote")
             fields.append(f'"{m["quoted"]}"{after}')
         else:
