@@ -197,7 +197,7 @@ def escaped_text(raw: Column) -> Column:
     slow = F.pandas_udf(lambda s: s.map(_escape), T.StringType())
     text = F.try_to_binary(F.lit(""), F.lit("utf-8"))  # keeps the expression typed
     valid = F.is_valid_utf8(raw.cast("string"))
-    return F.when(valid, F.replace(raw.cast("string"), F.lit("%"), F.lit("%%"))).otherwise(slow(F.when(~valid, raw).otherwise(text)))
+    return F.when(raw.isNull(), F.lit(None)).when(valid, F.replace(raw.cast("string"), F.lit("%"), F.lit("%%"))).otherwise(slow(F.when(~valid, raw).otherwise(text)))
 
 
 def gzip(raw: Column) -> Column:
