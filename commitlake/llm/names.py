@@ -335,11 +335,13 @@ def linked_users(users_metadata: DataFrame) -> DataFrame:
     distinct = cut(nodes.select("node", *NODE).distinct())
     pairs = scored_pairs(cosine_pairs(vectors(distinct)))
     of_user = cut(names.join(nodes.select("value", "node"), "value").select("user_id", "node").distinct())
-    following = of_user.withColumn("next", F.lead("node").over(Window.partitionBy("user_id").orderBy("node"))).filter("next is not null")
-    own = following.select(F.col("node").alias("a"), F.col("next").alias("b"), F.lit(1.0).alias("score")).distinct()
-    links = pairs.unionByName(own).groupBy("a", "b").agg(F.max("score").alias("score"))
-    clusters = average_linkage(distinct, links)
-    return of_user.join(clusters, "node").select("user_id", "cluster").distinct()
+    clusters = average_linkage(distinct, pairs)
+    found = cut(of_user.join(clusters, "node").select("user_id", "cluster").distinct())
+    # the names of one user stand for one: its classes are one class, whatever their names look like
+    following = found.withColumn("next", F.lead("cluster").over(Window.partitionBy("user_id").orderBy("cluster"))).filter("next is not null")
+    same = following.select(F.col("cluster").alias("a"), F.col("next").alias("b"), F.lit(1.0).alias("score")).distinct()
+    united = average_linkage(found.select(F.col("cluster").alias("node")).distinct(), same, 1e-12)
+    return found.withColumnRenamed("cluster", "node").join(united, "node").select("user_id", "cluster").distinct()
 
 
 def same_pairs(linked: DataFrame) -> DataFrame:
