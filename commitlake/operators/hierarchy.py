@@ -12,14 +12,19 @@ empty table gives empty results; other columns are ignored.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from commitlake.session import cut, small
+from commitlake.session import cut
 
 SPLIT = 8
 #: Equal-width stretches of the potential axis on which circles are localised; bounds the rows of the sweep.
 STRETCHES = 16_384
+#: Links of a reduced graph up to which one task solves it (16 bytes each); a larger one is reduced again.
+SOLVE = 100_000
 
 
 def latest_links(commits: DataFrame, position: str = "_seq") -> DataFrame:
@@ -150,19 +155,71 @@ def localise(edges: DataFrame, links: DataFrame) -> DataFrame:
     over = Window.orderBy("s").rowsBetween(Window.unboundedPreceding, 0)
     level = steps.withColumn("open", F.sum("d").over(over)).withColumn("to_s", F.lead("s").over(Window.orderBy("s"))).withColumn("before", F.lag("open").over(Window.orderBy("s")))
     run = level.withColumn("run", F.sum(F.when(F.coalesce("before", F.lit(0)) == 0, 1).otherwise(0)).over(over)).filter("open > 0")
-    stretch = small(run.select(F.explode(F.sequence("s", F.col("to_s") - 1)).alias("s"), "run"))
+    stretch = F.broadcast(run.select(F.explode(F.sequence("s", F.col("to_s") - 1)).alias("s"), "run"))  # at most STRETCHES rows
     inside = e.join(stretch.select(F.col("s").alias("sa"), F.col("run").alias("ra")), "sa").join(stretch.select(F.col("s").alias("sb"), F.col("run").alias("rb")), "sb")
     return inside.filter("ra = rb").select("a", "b")
 
 
-def trim(edges: DataFrame, rounds: int = 2) -> DataFrame:
+def trim(edges: DataFrame) -> DataFrame:
     """Drop links whose start nothing leads to or whose end leads nowhere: they lie on no circle."""
-    for _ in range(rounds):
-        edges = edges.join(edges.select(F.col("b").alias("a")).distinct(), "a", "left_semi")
-        edges = edges.join(edges.select(F.col("a").alias("b")).distinct(), "b", "left_semi").select("a", "b")
+    edges = edges.join(edges.select(F.col("b").alias("a")).distinct(), "a", "left_semi")
+    edges = edges.join(edges.select(F.col("a").alias("b")).distinct(), "b", "left_semi").select("a", "b")
     return cut(edges)
 
 
+def strong_classes(edges: list[tuple[int, int]]) -> dict[int, int]:
+    """The smallest id of the strongly connected class of every node on a circle (one depth-first pass, no recursion)."""
+    onward: dict[int, list[int]] = {}
+    for a, b in edges:
+        onward.setdefault(a, []).append(b)
+    number: dict[int, int] = {}
+    low: dict[int, int] = {}
+    open_: list[int] = []
+    inside: set[int] = set()
+    out: dict[int, int] = {}
+    for start in sorted(onward):
+        if start in number:
+            continue
+        todo = [(start, iter(onward[start]))]
+        number[start] = low[start] = len(number)
+        open_.append(start)
+        inside.add(start)
+        while todo:
+            node, rest = todo[-1]
+            for b in rest:
+                if b not in number:
+                    number[b] = low[b] = len(number)
+                    open_.append(b)
+                    inside.add(b)
+                    todo.append((b, iter(onward.get(b, ()))))
+                    break
+                if b in inside:
+                    low[node] = min(low[node], number[b])
+            else:
+                todo.pop()
+                if todo:
+                    low[todo[-1][0]] = min(low[todo[-1][0]], low[node])
+                if low[node] == number[node]:
+                    members = [open_.pop()]
+                    while members[-1] != node:
+                        members.append(open_.pop())
+                    inside.difference_update(members)
+                    if len(members) > 1 or node in onward.get(node, ()):
+                        out.update(dict.fromkeys(members, min(members)))
+    return out
+
+
+def _solve(edges: DataFrame) -> DataFrame:
+    """The classes of a graph counted to be small, in one task."""
+
+    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        pairs = [p for t in batches for p in zip(t["a"].tolist(), t["b"].tolist())]
+        found = strong_classes(pairs)
+        yield pd.DataFrame({"id": list(found), "comp": list(found.values())}, dtype="int64")
+
+    return edges.coalesce(1).mapInPandas(rows, "id bigint, comp bigint")
+
+
 def _walks(edges: DataFrame, level: int, split: int) -> DataFrame:
     """All ``a, b`` such that a walk from ``a`` reaches ``b`` meeting no splitter in between (doubling to the fixed point)."""
     pairs = cut(edges.distinct())
@@ -177,29 +234,26 @@ def _walks(edges: DataFrame, level: int, split: int) -> DataFrame:
         size = grown
 
 
-def circles(edges: DataFrame, level: int = 0, split: int = SPLIT) -> DataFrame:
+def circles(edges: DataFrame, level: int = 0, split: int = SPLIT, solve: int = SOLVE) -> DataFrame:
     """``id, comp``: the nodes from which the links lead back to themselves, ``comp`` equal within a strongly connected class.
 
-    The classes of the reduced graph over splitters are found by the same function one level down. A node between splitters belongs
-    to the class of a splitter that reaches it and that it reaches; classes without any splitter are read off the mutual walks.
+    The reduced graph over splitters is solved in one task once it is counted to have at most ``solve`` links, and by the same function
+    one level down before. A node between splitters belongs to the class of a splitter that reaches it and that it reaches; classes
+    without any splitter are read off the mutual walks.
     """
-    edges = trim(edges)
-    none = edges.select(F.col("a").alias("id"), F.col("b").alias("comp")).limit(0)
-    if not edges.limit(1).count():
-        return none
-    pairs = _walks(edges, level, split)
+    pairs = _walks(trim(edges), level, split)
     s_a, s_b = splitter("a", level, split), splitter("b", level, split)
     reduced = cut(pairs.filter(s_a & s_b))
-    if reduced.limit(1).count():
+    if reduced.limit(solve + 1).count() <= solve:
+        of_splitter = cut(_solve(reduced))
+    else:
         loops = reduced.filter("a = b").select(F.col("a").alias("id"), F.col("a").alias("comp"))
-        deeper = circles(reduced.filter("a <> b"), level + 1, split)
+        deeper = circles(reduced.filter("a <> b"), level + 1, split, solve)
         of_splitter = cut(deeper.unionByName(loops.join(deeper, "id", "left_anti")))
-        ahead = pairs.filter(~s_a & s_b).join(of_splitter.withColumnRenamed("id", "b"), "b").select(F.col("a").alias("id"), "comp")
-        behind = pairs.filter(s_a & ~s_b).join(of_splitter.withColumnRenamed("id", "a"), "a").select(F.col("b").alias("id"), "comp")
-        between = ahead.distinct().join(behind.distinct(), ["id", "comp"], "left_semi")
-        found = of_splitter.unionByName(between)
-    else:
-        found = none
+    ahead = pairs.filter(~s_a & s_b).join(of_splitter.withColumnRenamed("id", "b"), "b").select(F.col("a").alias("id"), "comp")
+    behind = pairs.filter(s_a & ~s_b).join(of_splitter.withColumnRenamed("id", "a"), "a").select(F.col("b").alias("id"), "comp")
+    between = ahead.distinct().join(behind.distinct(), ["id", "comp"], "left_semi")
+    found = of_splitter.unionByName(between)
     mutual = pairs.filter(~s_a & ~s_b)
     mutual = mutual.join(mutual.select(F.col("b").alias("a"), F.col("a").alias("b")), ["a", "b"], "left_semi")
     splitterless = mutual.groupBy("a").agg(F.min("b").alias("comp")).withColumnRenamed("a", "id")

@@ -61,7 +61,20 @@ def _classes(edges, nodes):
 def test_circles_of_any_graph(spark, edges):
     nodes = sorted({x for e in edges for x in e} | {0})
     links = spark.createDataFrame([(n, [b for a, b in edges if a == n], n * 7 % 11) for n in nodes], "id bigint, parents array<bigint>, potential bigint")
-    assert rows(hierarchy.circular_nodes(links)) == [tuple(r) for r in _sorted(_classes(edges, nodes))]
+    assert rows(hierarchy.circular_nodes(links)) == _sorted(_classes(edges, nodes))
+
+
+@SETTINGS
+@given(st.integers(2, 30).flatmap(lambda n: st.lists(st.tuples(st.integers(0, n - 1), st.integers(0, n - 1)), min_size=1, max_size=2 * n)))
+def test_circles_reduced_again_and_again(spark, edges):
+    got = {}
+    for r in hierarchy.circles(spark.createDataFrame(edges, "a bigint, b bigint").distinct(), split=2, solve=0).collect():
+        got.setdefault(r.comp, set()).add(r.id)
+    nodes = {x for e in edges for x in e}
+    want = {}
+    for least, n in _classes(edges, sorted(nodes)):
+        want.setdefault(least, set()).add(n)
+    assert sorted(map(sorted, got.values())) == sorted(map(sorted, want.values()))
 
 
 def _sorted(rs):
