@@ -25,16 +25,15 @@ MAX_PATTERNS = 200_000
 MAX_COMMON = 2_000
 ROUNDS = 60
 
+# Characters that end a sentence or a clause.
+ENDS = [".", "!", "?", ":", ";", ",", "…", "»", "”", '"', "'", ")"]
+
 STATISTICS = [
     "n_chars", "n_words", "mean_word_length", "symbol_ratio", "digit_ratio", "line_end_ratio", "common_ratio",
     "prose_ratio", "list_ratio", "table_ratio", "distinct_ratio", "word_char_ratio",
 ]
 
 
-def _count(text: str, pattern: str) -> Column:
-    return F.regexp_count(F.col(text), F.lit(pattern)).cast("double")
-
-
 def _ratio(part: Column, whole: Column) -> Column:
     return F.when(whole > 0, part / whole).otherwise(F.lit(0.0))
 
@@ -47,41 +46,49 @@ def statistics(documents: DataFrame, common_words: DataFrame) -> DataFrame:
     plain = plain.withColumn("body", F.when(F.trim("body") == "", F.col("text")).otherwise(F.col("body")))
     is_common = lambda w: w.isin(common) if common else F.lit(False)
     item = r"^\s*(?:[-*+•–]\s|\(?\d{1,4}[.):]\s|\[[ xX]?\]\s|[A-Z?!]{1,2}\s{1,3}\S+/\S|[\w.-]+\s*(?:[=><~]=|[\^@])\s*v?\d|[\w./-]+\s+v?\d+\.\d+\S*\s*$|\S+\s*$)"
-    row = r"^\s*\|.*\|\s*$|^[^;]+(?:;[^;]*){3}|^[^\t]+(?:\t[^\t]*){2}|^[^,]+(?:,[^,\s][^,]*){3}|^\S+(?: \S+)*(?: {2,}\S+){2}"
+    many = lambda x, c, n: F.length(x) - F.length(F.replace(x, F.lit(c), F.lit(""))) >= n
+
+    def row(x: Column) -> Column:
+        """A line of a table: between bars, or with several semicolons, tabs, commas without blanks, or wide gaps."""
+        commas = many(x, ",", 3) & F.regexp_like(x, F.lit(r"^[^,]+(?:,[^,\s][^,]*){3}"))
+        gaps = x.contains("  ") & F.regexp_like(x, F.lit(r"^\S+(?: \S+)*(?: {2,}\S+){2}"))
+        return (F.ltrim(x).startswith("|") & F.rtrim(x).endswith("|")) | many(x, ";", 3) | many(x, "\t", 2) | commas | gaps
+
     seen = F.transform(
         F.filter(F.split("body", r"\r\n|\n|\r"), lambda x: F.trim(x) != ""),
         lambda x: F.struct(
-            F.length(x).alias("size"), F.filter(F.split(F.lower(x), r"[^\p{L}\p{N}+]+"), lambda w: w != "").alias("words"),
-            F.regexp_like(x, F.lit(item)).alias("item"), F.regexp_like(x, F.lit(row)).alias("row"),
+            F.length(x).cast("double").alias("size"), F.filter(F.split(F.lower(x), r"[^\p{L}\p{N}]+"), lambda w: w != "").alias("words"),
+            F.regexp_like(x, F.lit(item)).alias("item"), row(x).alias("row"), F.right(F.rtrim(F.replace(x, F.lit("\t"), F.lit(" "))), F.lit(1)).isin(ENDS).alias("ends"),
         ),
     )
     # a line reads as a sentence with five words of two or more characters, two of them common
     judged = F.transform("seen", lambda x: F.struct(
-        x["size"].cast("double").alias("size"), x["item"].alias("item"), x["row"].alias("row"),
+        x["size"].alias("size"), x["item"].alias("item"), x["row"].alias("row"), x["ends"].alias("ends"),
         F.size(F.filter(x["words"], is_common)).alias("common"), F.size(F.filter(x["words"], lambda w: F.length(w) >= 2)).alias("long"),
     ))
-    share = lambda test: _ratio(
-        F.aggregate("judged", F.lit(0.0), lambda acc, x: acc + F.when(test(x), x["size"]).otherwise(0.0)), F.aggregate("judged", F.lit(0.0), lambda acc, x: acc + x["size"])
-    )
-    n_words, solid, n_lines = F.col("n_words"), F.col("solid"), F.size("seen").cast("double")
+    total = lambda f: F.aggregate("judged", F.lit(0.0), lambda acc, x: acc + f(x))
+    share = lambda test: _ratio(total(lambda x: F.when(test(x), x["size"]).otherwise(0.0)), F.col("chars"))
+    n_words, solid, letters = F.col("n_words"), F.col("solid"), F.col("letters")
+    left = lambda text, pattern: F.length(F.regexp_replace(text, pattern, "")).cast("double")
     return (
         plain.withColumn("seen", seen)
+        .withColumns({"judged": judged, "tokens": F.flatten(F.transform("seen", lambda x: x["words"])), "alnum": F.regexp_replace("body", r"[^\p{L}\p{N}]+", "")})
         .withColumns({
-            "judged": judged, "tokens": F.flatten(F.transform("seen", lambda x: x["words"])), "solid": _count("body", r"\S"),
-            "n_words": _count("body", r"[\p{L}\p{N}]+"), "letters": _count("body", r"[\p{L}\p{N}]"),
+            "n_words": F.size("tokens").cast("double"), "letters": F.length("alnum").cast("double"), "plain_letters": left("alnum", r"\p{N}+"), "solid": left("body", r"\s+"),
+            "chars": F.aggregate("judged", F.lit(0.0), lambda acc, x: acc + x["size"]), "chunks": F.size(F.split(F.trim("body"), r"\s+")).cast("double"),
         })
         .select(
             "doc_id", "text", F.length("body").cast("double").alias("n_chars"), "n_words",
-            _ratio(F.col("letters"), n_words).alias("mean_word_length"),
-            _ratio(solid - F.col("letters"), solid).alias("symbol_ratio"),
-            _ratio(_count("body", r"\p{N}"), solid).alias("digit_ratio"),
-            _ratio(_count("body", r"(?m)[.!?:;,…»”\"')][ \t\r]*$"), n_lines).alias("line_end_ratio"),
-            _ratio(F.aggregate("judged", F.lit(0.0), lambda acc, x: acc + x["common"]), n_words).alias("common_ratio"),
+            _ratio(letters, n_words).alias("mean_word_length"),
+            _ratio(solid - letters, solid).alias("symbol_ratio"),
+            _ratio(letters - F.col("plain_letters"), solid).alias("digit_ratio"),
+            _ratio(total(lambda x: F.when(x["ends"], 1.0).otherwise(0.0)), F.size("judged").cast("double")).alias("line_end_ratio"),
+            _ratio(total(lambda x: x["common"]), n_words).alias("common_ratio"),
             share(lambda x: (x["common"] >= 2) & (x["long"] >= 5)).alias("prose_ratio"),
             share(lambda x: x["item"]).alias("list_ratio"),
             share(lambda x: x["row"]).alias("table_ratio"),
-            _ratio(F.size(F.array_distinct("tokens")).cast("double"), F.size("tokens").cast("double")).alias("distinct_ratio"),
-            _ratio(_count("body", r"(?<![\p{L}\p{N}_])\p{L}{2,}(?![\p{L}\p{N}_])"), _count("body", r"\S+")).alias("word_char_ratio"),
+            _ratio(F.size(F.array_distinct("tokens")).cast("double"), n_words).alias("distinct_ratio"),
+            F.least(_ratio(F.size(F.filter("tokens", lambda w: (F.length(w) >= 2) & ~F.regexp_like(w, F.lit(r"\p{N}")))).cast("double"), F.col("chunks")), F.lit(1.0)).alias("word_char_ratio"),
         )
         .withColumns({s: F.when(F.col("text").isNotNull(), F.col(s)) for s in STATISTICS})
         .drop("text")
