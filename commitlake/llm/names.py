@@ -262,8 +262,8 @@ def vectors(nodes: DataFrame) -> DataFrame:
     return weighted.join(norm, "node").select("node", "gram", (F.col("w") / F.col("norm")).alias("weight"), "df")
 
 
-def cosine_pairs(vecs: DataFrame, threshold: float = COSINE) -> DataFrame:
-    """``a, b, cosine`` (a < b) of all vectors with a cosine of at least the threshold.
+def candidate_pairs(vecs: DataFrame, threshold: float = COSINE) -> DataFrame:
+    """``a, b`` (a < b): a superset of the pairs of vectors with a cosine of at least the threshold.
 
     Prefix filter: ordered from frequent to rare, the n-grams of a vector are left out of the index as long as together they weigh less
     than the threshold. If two vectors shared only n-grams left out of one of them, their cosine would be below the threshold; so every
@@ -276,16 +276,15 @@ def cosine_pairs(vecs: DataFrame, threshold: float = COSINE) -> DataFrame:
     prefix = cut(indexed.select("gram", "node", F.element_at(F.split("node", r"\|"), 2).alias("family")))
     left, right = prefix.withColumnsRenamed({"node": "a", "family": "fa"}), prefix.withColumnsRenamed({"node": "b", "family": "fb"})
     near = (F.abs(F.length("fa") - F.length("fb")) <= 2) & (F.levenshtein("fa", "fb", 4) >= 0)
-    pairs = cut(left.join(right, "gram").filter((F.col("a") < F.col("b")) & near).select("a", "b").distinct())
-    wide = vecs.groupBy("node").agg(F.map_from_entries(F.collect_list(F.struct("gram", "weight"))).alias("v"))
-    joined = pairs.join(wide.withColumnsRenamed({"node": "a", "v": "va"}), "a").join(wide.withColumnsRenamed({"node": "b", "v": "vb"}), "b")
+    return left.join(right, "gram").filter((F.col("a") < F.col("b")) & near).select("a", "b").distinct()
 
-    def dot(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for t in batches:
-            value = [sum(w * y.get(g, 0.0) for g, w in x.items()) for x, y in zip(map(dict, t["va"]), map(dict, t["vb"]))]
-            yield pd.DataFrame({"a": t["a"], "b": t["b"], "cosine": value})
 
-    return joined.mapInPandas(dot, "a string, b string, cosine double").filter(F.col("cosine") >= threshold)
+def keep_similar(pairs: DataFrame, vecs: DataFrame, threshold: float = COSINE) -> DataFrame:
+    """The pairs (``a, b`` and more columns) whose vectors have a cosine of at least the threshold: a sum over shared n-grams."""
+    one = lambda side: vecs.select(F.col("node").alias(side), "gram", F.col("weight").alias(f"w{side}"))
+    shared = pairs.select("a", "b").join(one("a"), "a").join(one("b"), ["b", "gram"])
+    similar = shared.groupBy("a", "b").agg(F.sum(F.col("wa") * F.col("wb")).alias("cosine")).filter(F.col("cosine") >= threshold)
+    return pairs.join(similar, ["a", "b"])
 
 
 def scored_pairs(pairs: DataFrame) -> DataFrame:
@@ -333,7 +332,9 @@ def linked_users(users_metadata: DataFrame) -> DataFrame:
     names = cut(typed_names(users_metadata))
     nodes = cut(name_nodes(names))
     distinct = cut(nodes.select("node", *NODE).distinct())
-    pairs = scored_pairs(cosine_pairs(vectors(distinct)))
+    vecs = cut(vectors(distinct))
+    # the check of the parts is the stricter test, so it comes before the cosine of all n-grams
+    pairs = cut(keep_similar(cut(scored_pairs(candidate_pairs(vecs))), vecs).select("a", "b", "score"))
     of_user = cut(names.join(nodes.select("value", "node"), "value").select("user_id", "node").distinct())
     clusters = average_linkage(distinct, pairs)
     found = cut(of_user.join(clusters, "node").select("user_id", "cluster").distinct())

@@ -100,8 +100,8 @@ def votes() -> dict[str, Column]:
     c = F.col
     vote = lambda *cases: F.coalesce(*[F.when(cond, TYPES.index(t)) for cond, t in cases], F.lit(-1))
     return {
-        "lf_prose_lines": vote((c("prose_ratio") >= 0.6, "prose"), (c("prose_ratio") < 0.1, "junk")),
-        "lf_common": vote((c("common_ratio") >= 0.2, "prose"), (c("common_ratio") < 0.04, "junk")),
+        "lf_prose_lines": vote((c("prose_ratio") >= 0.5, "prose"), (c("prose_ratio") < 0.1, "junk")),
+        "lf_common": vote((c("common_ratio") >= 0.15, "prose"), (c("common_ratio") < 0.04, "junk")),
         "lf_line_end": vote(((c("line_end_ratio") >= 0.5) & (c("common_ratio") >= 0.1), "prose")),
         "lf_list_lines": vote(((c("list_ratio") >= 0.5) & (c("distinct_ratio") > 0.15), "list")),
         "lf_list_clean": vote(((c("list_ratio") >= 0.5) & (c("prose_ratio") < 0.5) & (c("mean_word_length") < 12) & (c("symbol_ratio") < 0.45), "list")),

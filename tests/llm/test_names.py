@@ -59,8 +59,10 @@ def test_cosine_pairs_lose_none(spark):
             fa, fb = a.split("|")[1], b.split("|")[1]
             if sum(w * v[b].get(g, 0) for g, w in v[a].items()) >= N.COSINE + 1e-9 and N.distance(fa, fb, 9) <= 2:
                 want.add((a, b))
-    got = {(r.a, r.b) for r in N.cosine_pairs(vecs).collect()}
-    assert want <= got
+    pairs = N.candidate_pairs(vecs)
+    got = {(r.a, r.b): r.cosine for r in N.keep_similar(pairs, vecs).collect()}
+    assert want <= set(got) <= {(r.a, r.b) for r in pairs.collect()}
+    assert all(abs(c - sum(w * v[b].get(g, 0) for g, w in v[a].items())) < 1e-9 for (a, b), c in got.items())
 
 
 def _linkage(n, sim, threshold):
