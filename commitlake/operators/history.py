@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from commitlake.operators.ordering import positions
-from commitlake.session import small
+from commitlake.session import cut, small
 
 EVENT_COLUMNS = ["attr", "project_id", "item", "pos", "seq", "op", "state"]
 
@@ -59,7 +59,7 @@ def versions(events: DataFrame) -> DataFrame:
     The lead is taken over event numbers that are computed block-wise, so one item with very many events stays distributed.
     """
     keys = ["attr", "project_id", "item"]
-    numbered = positions(events, keys, ["pos"], "n")
+    numbered = positions(cut(events), keys, ["pos"], "n")
     following = numbered.select(*[F.col(k).alias(f"f_{k}") for k in keys], (F.col("n") - 1).alias("f_n"), F.col("seq").alias("to_seq"))
     cond = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"f_{k}")) for k in [*keys, "n"]])
     return (

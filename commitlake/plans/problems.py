@@ -81,6 +81,29 @@ v as (
   where b.item is null or a.c is distinct from b.c)
 """
 
+_PERIODS = """
+with s as (select distinct _seq, project_id, time, kind, new_kind, error from project_updates),
+m as (select distinct x._seq, x.project_id, k.metakey, x.value from project_metadata x
+      join metadata_keys k on regexp_replace(lower(x.key), '[^a-z0-9]', '', 'g') = regexp_replace(lower(k.metakey), '[^a-z0-9]', '', 'g')),
+snap as (select _seq, project_id, heads, lag(_seq) over w before, lead(_seq) over w after from (select distinct _seq, project_id, heads from project_heads where heads is not null) q window w as (partition by project_id order by _seq)),
+hb as (select _seq, project_id, before, after, unnest(map_keys(heads)) item, unnest(map_values(heads)).commit_id c from snap),
+ev as (
+  select 'status' attr, project_id, '' item, time t, _seq, case when rn = 1 then 'inserted' else 'changed' end op, cast(to_json({'kind': kind, 'new_kind': new_kind, 'error': error}) as varchar) state from (
+    select *, row_number() over w rn, lag(kind) over w pk, lag(new_kind) over w pn, lag(error) over w pe from s window w as (partition by project_id order by time nulls first, _seq)) q
+  where rn = 1 or kind is distinct from pk or new_kind is distinct from pn or error is distinct from pe
+  union all
+  select 'metadata', project_id, metakey, 0, _seq, case when rn = 1 then 'inserted' else 'changed' end, value from (
+    select *, row_number() over w rn, lag(value) over w pv from m window w as (partition by project_id, metakey order by _seq)) q
+  where rn = 1 or value is distinct from pv
+  union all
+  select 'heads', a.project_id, a.item, 0, a._seq, case when b.item is null then 'inserted' else 'changed' end, cast(a.c as varchar) from hb a left join hb b on b.project_id = a.project_id and b.item = a.item and b._seq = a.before
+  where b.item is null or a.c is distinct from b.c
+  union all
+  select 'heads', a.project_id, a.item, 0, a.after, 'deleted', null from hb a left join hb b on b.project_id = a.project_id and b.item = a.item and b._seq = a.after where a.after is not null and b.item is null)
+select attr, project_id, item, from_seq, to_seq, op, state from (
+  select attr, project_id, item, _seq from_seq, lead(_seq) over (partition by attr, project_id, item order by t nulls first, _seq) to_seq, op, state from ev) q where op <> 'deleted'
+"""
+
 _LATEST = "select commit_id, parents from (select *, row_number() over (partition by commit_id order by _seq desc) rn from commits_info) q where rn = 1"
 
 _EDGES = f"""
@@ -90,6 +113,7 @@ e as materialized (select distinct commit_id a, p b from (select commit_id, unne
 
 SQL = {
     "p3_found": _OBSERVED + "select attr, project_id, item, _seq as from_seq from v",
+    "p3_history": _PERIODS,
     "p4_found": f"""
 with recursive {_EDGES},
 r(a, b) as (select a, b from e union select r.a, e.b from r join e on e.a = r.b),
