@@ -28,9 +28,9 @@ COSINE = 0.36
 LINKAGE = 0.5
 #: Agreement of names two edits apart: two slips of one name, supporting a class but never enough for one.
 TWICE = 0.35
-#: A word that meets this many different words is taken for a given name, beside the fixed ones.
-GIVEN_PARTNERS = 60
-MAX_GIVEN = 50_000
+#: A word is taken for a given name, beside the fixed ones, if in names of two words it meets so many different words, and so large a
+#: share of all names. The share bounds the learned words to ``2 / GIVEN_SHARE``, whatever the input.
+GIVEN_PARTNERS, GIVEN_SHARE = 60, 0.0005
 
 # Short forms of given names with the full names they stand for.
 SHORT_FORMS = {
@@ -211,8 +211,9 @@ def given_lexicon(names: DataFrame) -> frozenset[str]:
     """The fixed given names and the words of the corpus that meet very many different other words."""
     words = names.select(F.array_distinct(F.regexp_extract_all(F.lower("value"), F.lit(r"\p{L}{2,}"), 0)).alias("w")).filter("size(w) = 2")
     pairs = words.select(F.explode(F.array(F.struct(F.col("w")[0].alias("a"), F.col("w")[1].alias("b")), F.struct(F.col("w")[1].alias("a"), F.col("w")[0].alias("b")))).alias("p"))
-    many = pairs.groupBy("p.a").agg(F.approx_count_distinct("p.b", 0.05).alias("n")).filter(F.col("n") >= GIVEN_PARTNERS)
-    learned = {fold(r.a) for r in bounded_collect(many.select("a"), MAX_GIVEN)}
+    least = max(GIVEN_PARTNERS, int(GIVEN_SHARE * words.count()))
+    many = pairs.groupBy("p.a").agg(F.approx_count_distinct("p.b", 0.05).alias("n")).filter(F.col("n") >= least)
+    learned = {fold(r.a) for r in bounded_collect(many.select("a"), int(3 / GIVEN_SHARE))}
     return _GIVEN | frozenset(w for w in learned if w not in _ORG and w not in LEGAL and w not in TITLES and w not in ("via", "web", "the", "build", "account", "contractor"))
 
 
