@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from commitlake.operators import hierarchy, history, incremental, records, wide
+from commitlake.operators import graph, hierarchy, history, incremental, records, wide
 from commitlake.session import read
 
 
@@ -34,6 +34,13 @@ def p4_tree(spark: SparkSession, d: str) -> DataFrame:
     return trees.select(F.col("id").alias("commit_id"), "root", "depth", F.array_join("path", "/").alias("path"), "n_descendants")
 
 
+def p4_descendants(spark: SparkSession, d: str) -> DataFrame:
+    """Each commit with each other commit from which following ``parents`` (any of them) leads to it."""
+    links = hierarchy.latest_links(read(spark, d, "commits_info"))
+    roots = links.select(F.col("id").alias("key"), "id")
+    return graph.reachable(roots, hierarchy.edges_of(links)).filter("key <> id").select(F.col("id").alias("commit_id"), F.col("key").alias("descendant"))
+
+
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
     """Each cell whose latest value is of no use."""
     return wide.useless_cells(wide.wide_table(read(spark, d, "project_metadata"), read(spark, d, "metadata_keys")))
@@ -59,7 +66,7 @@ def p7_found(spark: SparkSession, d: str) -> DataFrame:
     return incremental.project_deltas(spark, d).select("log_name", "rec_seq").distinct()
 
 
-QUERIES = {f.__name__: f for f in (p3_found, p3_history, p4_found, p4_tree, p5_found, p5_wide, p6_found, p6_valid, p7_found)}
+QUERIES = {f.__name__: f for f in (p3_found, p3_history, p4_found, p4_tree, p4_descendants, p5_found, p5_wide, p6_found, p6_valid, p7_found)}
 
 _OBSERVED = """
 with s as (select distinct _seq, project_id, time, kind, new_kind, error from project_updates),

@@ -111,3 +111,12 @@ def test_reachable(spark, edges, roots):
                 todo += [b for a, b in edges if a == x]
     got = graph.reachable(spark.createDataFrame([(r, r) for r in roots], "key bigint, id bigint"), spark.createDataFrame(edges, "a bigint, b bigint").distinct())
     assert {tuple(r) for r in got.select("key", "id").collect()} == want
+
+
+def test_descendants_through_any_parent(spark, tmp_path):
+    from commitlake.plans.problems import QUERIES
+
+    links = [(1, []), (2, [1]), (3, [1]), (4, [2, 3]), (5, [4, 99]), (6, []), (7, [5, 6]), (8, [9]), (9, [8])]
+    spark.createDataFrame([(i, c, p, 100 + i) for i, (c, p) in enumerate(links)], "_seq bigint, commit_id bigint, parents array<bigint>, committer_time bigint").write.parquet(str(tmp_path / "commits_info.parquet"))
+    want = [(a, b) for a, bs in {1: [2, 3, 4, 5, 7], 2: [4, 5, 7], 3: [4, 5, 7], 4: [5, 7], 5: [7], 6: [7], 8: [9], 9: [8]}.items() for b in bs]
+    assert sorted(tuple(r) for r in QUERIES["p4_descendants"](spark, str(tmp_path)).collect()) == want
