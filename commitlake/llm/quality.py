@@ -30,7 +30,7 @@ ENDS = [".", "!", "?", ":", ";", ",", "…", "»", "”", '"', "'", ")"]
 
 STATISTICS = [
     "n_chars", "n_words", "mean_word_length", "symbol_ratio", "digit_ratio", "line_end_ratio", "common_ratio",
-    "prose_ratio", "list_ratio", "table_ratio", "distinct_ratio", "word_char_ratio",
+    "prose_ratio", "list_ratio", "table_ratio", "distinct_ratio", "word_char_ratio", "fenced_ratio",
 ]
 
 
@@ -39,11 +39,10 @@ def _ratio(part: Column, whole: Column) -> Column:
 
 
 def statistics(documents: DataFrame, common_words: DataFrame) -> DataFrame:
-    """``doc_id`` and the statistics of its text; line shares are by characters, fenced code and its fences left out."""
+    """``doc_id`` and the statistics of its text; line shares are by characters of the whole text; lines in closed fences are no prose."""
     common = sorted({r.word.lower() for r in bounded_collect(common_words.filter("word is not null").select("word").distinct(), MAX_COMMON)})
     base = documents.filter("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    plain = base.withColumn("body", F.regexp_replace("text", r"(?s)```.*?(?:```|\z)", "\n"))
-    plain = plain.withColumn("body", F.when(F.trim("body") == "", F.col("text")).otherwise(F.col("body")))
+    plain = base.withColumn("body", F.col("text")).withColumn("parts", F.split("text", "```"))  # every second part is fenced, the last one never
     is_common = lambda w: w.isin(common) if common else F.lit(False)
     item = r"^\s*(?:[-*+•–]\s|\(?\d{1,4}[.):]\s|\[[ xX]?\]\s|[A-Z?!]{1,2}\s{1,3}\S+/\S|[\w.-]+\s*(?:[=><~]=|[\^@])\s*v?\d|[\w./-]+\s+v?\d+\.\d+\S*\s*$|\S+\s*$)"
     many = lambda x, c, n: F.length(x) - F.length(F.replace(x, F.lit(c), F.lit(""))) >= n
@@ -54,16 +53,18 @@ def statistics(documents: DataFrame, common_words: DataFrame) -> DataFrame:
         gaps = x.contains("  ") & F.regexp_like(x, F.lit(r"^\S+(?: \S+)*(?: {2,}\S+){2}"))
         return (F.ltrim(x).startswith("|") & F.rtrim(x).endswith("|")) | many(x, ";", 3) | many(x, "\t", 2) | commas | gaps
 
-    seen = F.transform(
-        F.filter(F.split("body", r"\r\n|\n|\r"), lambda x: F.trim(x) != ""),
+    lines = lambda part, i: F.transform(
+        F.filter(F.split(part, r"\r\n|\n|\r"), lambda x: F.trim(x) != ""),
         lambda x: F.struct(
+            ((i % 2 == 1) & (i < F.size("parts") - 1)).alias("fenced"),
             F.length(x).cast("double").alias("size"), F.filter(F.split(F.lower(x), r"[^\p{L}\p{N}]+"), lambda w: w != "").alias("words"),
             F.regexp_like(x, F.lit(item)).alias("item"), row(x).alias("row"), F.right(F.rtrim(F.replace(x, F.lit("\t"), F.lit(" "))), F.lit(1)).isin(ENDS).alias("ends"),
         ),
     )
+    seen = F.flatten(F.transform("parts", lines))
     # a line reads as a sentence with five words of two or more characters, two of them common
     judged = F.transform("seen", lambda x: F.struct(
-        x["size"].alias("size"), x["item"].alias("item"), x["row"].alias("row"), x["ends"].alias("ends"),
+        x["size"].alias("size"), x["fenced"].alias("fenced"), x["item"].alias("item"), x["row"].alias("row"), x["ends"].alias("ends"),
         F.size(F.filter(x["words"], is_common)).alias("common"), F.size(F.filter(x["words"], lambda w: F.length(w) >= 2)).alias("long"),
     ))
     total = lambda f: F.aggregate("judged", F.lit(0.0), lambda acc, x: acc + f(x))
@@ -84,7 +85,8 @@ def statistics(documents: DataFrame, common_words: DataFrame) -> DataFrame:
             _ratio(letters - F.col("plain_letters"), solid).alias("digit_ratio"),
             _ratio(total(lambda x: F.when(x["ends"], 1.0).otherwise(0.0)), F.size("judged").cast("double")).alias("line_end_ratio"),
             _ratio(total(lambda x: x["common"]), n_words).alias("common_ratio"),
-            share(lambda x: (x["common"] >= 2) & (x["long"] >= 5)).alias("prose_ratio"),
+            share(lambda x: ~x["fenced"] & (x["common"] >= 2) & (x["long"] >= 5)).alias("prose_ratio"),
+            share(lambda x: x["fenced"]).alias("fenced_ratio"),
             share(lambda x: x["item"]).alias("list_ratio"),
             share(lambda x: x["row"]).alias("table_ratio"),
             _ratio(F.size(F.array_distinct("tokens")).cast("double"), n_words).alias("distinct_ratio"),
@@ -108,6 +110,7 @@ def votes() -> dict[str, Column]:
         "lf_table_lines": vote((c("table_ratio") >= 0.5, "table")),
         "lf_table_digits": vote(((c("table_ratio") >= 0.5) & (c("digit_ratio") > 0.03) & (c("prose_ratio") < 0.5), "table")),
         "lf_symbols": vote((c("symbol_ratio") >= 0.4, "junk"), ((c("symbol_ratio") < 0.12) & (c("word_char_ratio") > 0.75), "prose")),
+        "lf_fenced": vote((c("fenced_ratio") >= 0.5, "junk")),
         "lf_repeats": vote(((c("distinct_ratio") < 0.15) & (c("n_words") >= 8), "junk")),
         "lf_no_words": vote((c("word_char_ratio") < 0.25, "junk"), (c("word_char_ratio") > 0.85, "prose")),
         "lf_word_length": vote(((c("mean_word_length") > 14) | (c("mean_word_length") < 1.6), "junk")),
@@ -144,6 +147,9 @@ def classify(stats: DataFrame) -> DataFrame:
     if not counted:
         return stats.withColumns({f"p_{t}": F.lit(None).cast("double") for t in TYPES} | {"text_type": F.lit(None).cast("string")})
     patterns = np.array([[r[f] for f in functions] for r in counted], dtype=int)
+    voting = (patterns >= 0).any(axis=0)  # a function that never votes tells nothing
+    functions = {f: v for (f, v), any_ in zip(functions.items(), voting) if any_} if voting.any() else functions
+    patterns = patterns[:, voting] if voting.any() else patterns
     priors, emission = learn(patterns, np.array([r["count"] for r in counted], dtype=float))
     scores = {}
     for i, t in enumerate(TYPES):
@@ -159,7 +165,7 @@ def classify(stats: DataFrame) -> DataFrame:
     kind = F.when(F.col("n_chars").isNull(), None).when(F.col("n_words") == 0, "junk")
     for t in TYPES:
         kind = kind.when(F.col(f"s_{t}") == top, t)
-    return scored.withColumn("text_type", kind).drop(*scores, *functions)
+    return scored.withColumn("text_type", kind).drop(*scores, *votes())
 
 
 def text_types(documents: DataFrame, common_words: DataFrame) -> DataFrame:

@@ -158,3 +158,16 @@ def test_whole_texts_are_read(spark):
     long = "the cat and a dog is in the house. " * 20_000
     common = spark.createDataFrame([("en", w) for w in COMMON], "lang string, word string")
     assert Q.statistics(_docs(spark, [long]), common).select(F.col("n_chars")).first()[0] == len(long)
+
+
+def test_fenced_text_is_judged(spark):
+    common = spark.createDataFrame([("en", w) for w in "the and of to is in it".split()], "lang string, word string")
+    line = "The report of the last run is in the log and it is kept.\n"
+    log = "".join(f"0x{i * 7919:08x} ERR {i} [{i % 7}] == {i * 31} %%\n" for i in range(60))
+    texts = [line + "```\n" + log + "```\n", line + "```\n" + line * 20, line * 20 + "```\nx = 1\n```\n"]
+    got = {r.doc_id: r for r in Q.statistics(_docs(spark, texts), common).collect()}
+    assert [got[i].n_chars for i in range(3)] == [len(t) for t in texts]
+    assert got[0].fenced_ratio > 0.9 and got[0].prose_ratio < 0.1 and got[1].fenced_ratio == 0 and got[1].prose_ratio > 0.9 and got[2].fenced_ratio < 0.1 and got[2].prose_ratio > 0.9
+    prose = [f"The part {w} of the plan is in the hands of it and to be done.\n" * 3 for w in "one two three four five six seven".split()]
+    kinds = {r.doc_id: r.text_type for r in Q.text_types(_docs(spark, texts + prose + [log, log[:900]]), common).collect()}
+    assert kinds[0] != "prose" and kinds[1] == kinds[2] == "prose"
