@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,12 +13,17 @@ BROADCAST_ROWS = 20_000
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The folder all executors share, from ``spark.checkpoint.dir``; a temporary one only where none is configured (local tests)."""
+    """The folder all executors share, from ``spark.checkpoint.dir``. Where none is set, a local master gets one below its working folder;
+    on a cluster that is an error, as a machine's own folder would not survive the machine."""
     sc = spark.sparkContext
     current = sc._jsc.sc().getCheckpointDir()
     if current.isDefined():
         return current.get()
-    sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="commitlake-ckpt-"))
+    folder = sc.getConf().get("spark.checkpoint.dir", None)
+    master = sc.master or ""
+    if not folder and (not master.startswith("local") or master.startswith("local-cluster")):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    sc.setCheckpointDir(folder or f"/tmp/commitlake-{sc.applicationId}")
     return sc._jsc.sc().getCheckpointDir().get()
 
 
@@ -28,6 +33,13 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def keep(df: DataFrame) -> DataFrame:
+    """Like ``cut``, as a table in the shared folder. Its size is then known; over the rounds of a loop, checkpoints only multiply estimates."""
+    path = f"{checkpoint_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """``df`` with a broadcast hint if it was counted to hold at most ``rows`` rows, else unchanged (shuffle join)."""
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
