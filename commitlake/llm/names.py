@@ -1,36 +1,46 @@
 """Variant spellings of typed names: which user ids stand for the same person or organisation.
 
-Typed names are normalised (case, accents, decorations, order of parts, nicknames) into name nodes, of which every distinct one is
-kept once however many users typed it. Nodes become TF-IDF weighted vectors of character n-grams; a distributed sparse cosine join
-with prefix filtering (exact: no partner above the threshold is lost, and no partner is capped) gives candidate pairs; an exact check
-of the parts scores them; average-linkage clustering by rounds of reciprocal nearest neighbours groups them. Reciprocal merging gives
-the same clusters as merging the closest pair each time, but needs no cluster to be held in one task.
-
-Defined results: null, blank and place-holder names stand for nobody; users without a name have no links; names typed for several
-users link them; a user with several names links those; empty tables give an empty result; other columns are ignored.
+A typed name is read as family and given name (an organisation as stem and type); one of two words without comma also the other way
+round if its first word is the rarer one. Both parts become unit vectors of TF-IDF weighted character n-grams, and the cosine of two
+names is the mean of the cosines of their parts, the best over their readings. The n-grams of a family are tagged with the initial of
+the given name, so the members of a large family meet only where they can be one person. A distributed sparse join with prefix
+filtering finds the families (exact: no partner above the threshold is lost and none is capped), the given names follow. Names that
+differ by more than slips (family or given name), or whose middle initials contradict each other, are no candidates. Average-linkage
+clustering on the cosines, in rounds of reciprocal nearest neighbours, groups the names. Reciprocal merging gives the same clusters as
+merging the closest pair each time, but needs no cluster to be held in one task.
+
+Every distinct reading is kept once however many users typed it. No list of given or family names is used; the table of short forms
+(Bill for William) is a parameter.
+
+Defined results: null, blank and place-holder names stand for nobody; users without a name have no links; equal names link their users;
+a user with several names links those; a single word longer than ``LONGEST`` letters is not taken apart; empty tables give an empty
+result; other columns are ignored.
 """
 
 from __future__ import annotations
 
 import re
 import unicodedata
+from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from commitlake.session import bounded_collect, cut
+from commitlake.llm.components import components
+from commitlake.session import cut, keep
 
-#: Cosine from which two vectors are candidates.
-COSINE = 0.36
-#: Average similarity from which two clusters are merged.
-LINKAGE = 0.5
-#: Agreement of names two edits apart: two slips of one name, supporting a class but never enough for one.
-TWICE = 0.35
-#: A word is taken for a given name, beside the fixed ones, if in names of two words it meets so many different words, and so large a
-#: share of all names. The share bounds the learned words to ``2 / GIVEN_SHARE``, whatever the input.
-GIVEN_PARTNERS, GIVEN_SHARE = 60, 0.0005
+#: Cosine from which two names are linked, and average cosine from which two clusters are merged.
+COSINE = 0.62
+#: Cosine of two family names below which no given name makes up for it.
+FAMILY = 0.38
+#: Share of a given name's vector that its initial has (all of it, if it is but an initial).
+INITIAL = 0.5
+#: Cosine from which two names support a class they may share; below it they count as strangers.
+SUPPORT = 0.45
+#: Letters of a single word that may be two names run together.
+LONGEST = 64
 
 # Short forms of given names with the full names they stand for.
 SHORT_FORMS = {
@@ -52,11 +62,6 @@ SHORT_FORMS = {
     "jimmy": "james", "joe": "joseph", "andy": "andrew", "drew": "andrew", "tony": "anthony", "steve": "stephen", "jen": "jennifer", "jenny": "jennifer", "kim": "kimberly", "ken": "kenneth",
 }
 
-# Full given names that have no short form above.
-FULL_NAMES = (
-    "amparo bjarne cedric chiara deepika emeka farah goran hiroko imran ingrid kwame linnea noemi osman paloma quentin ragnhild soraya vanja xiomara yusuf"
-).split()
-
 # What kind of organisation a word names, with its abbreviations.
 ORGANISATIONS = {
     "foundation": "fdn found", "engineering": "eng engg", "networks": "net network nets", "robotics": "robo", "software": "sw soft", "technologies": "tech technology techs",
@@ -72,10 +77,8 @@ PLACEHOLDERS = frozenset(
     "git github ci build builder bot travis localhost system me author committer vagrant docker nil undefined name first-last john-doe jane-doe somebody".split()
 )
 
-_SHORT = {k: v.split() for k, v in SHORT_FORMS.items()}
-_GIVEN = frozenset(FULL_NAMES) | frozenset(_SHORT) | frozenset(f for v in _SHORT.values() for f in v)
 _ORG = {w: k for k, v in ORGANISATIONS.items() for w in [k, *v.split()]}
-_ORG_TAIL = re.compile(r"^(.{4,}?)(" + "|".join(sorted(ORGANISATIONS, key=len, reverse=True)) + r")$")
+_ORG_TAIL = re.compile(r"^(.{4,}?)(" + "|".join(sorted(_ORG, key=len, reverse=True)) + r")$")
 _DECORATION = re.compile(r"\bvia\s+(?:web|app|mobile|e?mail|\w+\s+web)\b|\bbuild\s+account\b|\bservice\s+account\b|\(([^()]*)\)|\[[^\[\]]*\]")
 _QUOTED = re.compile(r"(?<=\S)\s+[\"“”'‘’(][^\"“”'‘’()]+[\"“”'‘’)]\s+(?=\S)")
 _SPECIAL = str.maketrans({"ß": "ss", "ø": "o", "ł": "l", "đ": "d", "ð": "d", "þ": "th", "æ": "ae", "œ": "oe", "ı": "i"})
@@ -85,80 +88,49 @@ def fold(text: str) -> str:
     return "".join(c for c in unicodedata.normalize("NFKD", text.lower().translate(_SPECIAL)) if not unicodedata.combining(c))
 
 
-def full_names(given: str) -> list[str]:
-    """The full names a given name may stand for; an unknown one also those it misspells by one edit."""
-    if given in _GIVEN or len(given) < 4:
-        return _SHORT.get(given, [given])
-    return [given, *sorted(f for f in _GIVEN if f not in _SHORT and len(f) > 3 and distance(given, f, 1) <= 1)]
+READING = ["kind", "family", "given", "middle"]
 
 
-def readings(typed: str, given_names: frozenset[str]) -> list[tuple[str, str, str, str, str]]:
-    """The possible readings ``(kind, family, given, initial, middle)`` of a typed name; none for a place-holder.
+def readings(typed: str) -> list[tuple[str, str, str, str]]:
+    """The readings ``(kind, family, given, middle)`` of a typed name, the usual one first; none for a place-holder.
 
-    ``kind``: ``person``, ``org`` (family its stem, given its type) or ``handle`` (a word that may hide a name; several readings).
+    ``kind``: ``person``, ``org`` (family its stem, given its type) or ``word`` (a single word that may hide a name).
     """
     if re.search(r"\[bot\]|\bbot\b", typed.lower()):
         return []
-    text = _DECORATION.sub(" ", fold(typed))
-    text = _QUOTED.sub(" ", text)
+    text = _QUOTED.sub(" ", _DECORATION.sub(" ", fold(typed)))
     text = re.sub(r"[\"“”‘’`]|(?<!\w)'|'(?!\w)", " ", text)
-    words = re.findall(r"[^\W\d_]+(?:'[^\W\d_]+)*", text.replace("'", ""))
-    plain = "-".join(words)
-    if not words or plain in PLACEHOLDERS or re.fullmatch(r"\W*no\s+author\W*", fold(typed)):
+    words = re.findall(r"[^\W\d_]+", text.replace("'", ""))
+    if not words or "-".join(words) in PLACEHOLDERS:
         return []
     words = [w for w in words if w not in TITLES or len(words) == 1]
     core = [w for w in words if w not in LEGAL and w != "the"] or words
-    org = [w for w in core if w in _ORG and (len(w) > 3 or w not in given_names)]
-    if org and len(core) >= 2 and not ({w for w in core} & given_names - set(org)):
-        stem = "".join(w for w in core if w != org[-1])
-        return [("org", stem, _ORG[org[-1]], "@", "")]
-    if len(core) == 1:
-        m = _ORG_TAIL.match(core[0])
-        if m:
-            return [("org", m[1], m[2], "@", "")]
-    if not words:
-        return []
+    types = [w for w in core if w in _ORG]
+    if types and len(core) >= 2:
+        stem = [w for w in core if w != types[-1]]
+        out = [("org", "".join(stem), _ORG[types[-1]], "")] if stem else []
+        if len(core) == 2 and len(types[-1]) <= 3:  # a short word may as well be a name
+            out += [("person", core[0], core[1], ""), ("person", core[1], core[0], "")]
+        return out
     before, comma, after = text.partition(",")
     if comma:
-        family_words = [w for w in re.findall(r"[^\W\d_]+", before) if w not in TITLES]
-        given_words = [w for w in re.findall(r"[^\W\d_]+", after) if w not in TITLES]
-        if family_words and given_words:
-            return [_person("".join(family_words), given_words)]
+        family, given = ([w for w in re.findall(r"[^\W\d_]+", part) if w not in TITLES] for part in (before, after))
+        if family and given:
+            first = next((w for w in given if len(w) > 1), given[0])
+            return [("person", "".join(family), first, next((w for w in given if len(w) == 1 and w != first), ""))]
     long_, single = [w for w in words if len(w) > 1], [w for w in words if len(w) == 1]
     if len(long_) >= 2:
-        if long_[0] not in given_names and long_[-1] in given_names:
-            return [_person("".join(long_[:-1]), [long_[-1], *single])]
-        return [_person("".join(long_[1:]), [long_[0], *single])]
+        middle = single[0] if single else ""
+        return [("person", "".join(long_[1:]), long_[0], middle), ("person", "".join(long_[:-1]), long_[-1], middle)]
     if len(long_) == 1 and single:
-        return [_person(long_[0], single)]
+        return [("person", long_[0], single[0], single[1] if len(single) > 1 else "")]
     if not long_:
-        return [("handle", "".join(words), "", "", "")]
-    word = long_[0]
-    out = []
-    for k in range(len(word) - 4, 1, -1):
-        if word[:k] in given_names:
-            out.append(("handle", word[k:], word[:k], _initials(word[:k]), ""))
-    for k in range(4, len(word) - 1):
-        if word[k:] in given_names:
-            out.append(("handle", word[:k], word[k:], _initials(word[k:]), ""))
-    if len(word) >= 5:
-        out += [("handle", word[1:], "", word[0], ""), ("handle", word[:-1], "", word[-1], "")]
-    return [*out, ("handle", word, "", "", "")]
-
-
-def _initials(given: str) -> str:
-    return "".join(sorted({f[0] for f in full_names(given)}))[:3]
-
+        return [("word", "".join(words), "", "")] if words else []
+    tail = _ORG_TAIL.match(long_[0])
+    return [("word", long_[0], "", "")] + ([("org", tail[1], _ORG[tail[2]], "")] if tail else [])
 
-def _person(family: str, given: list[str]) -> tuple[str, str, str, str, str]:
-    first, rest = given[0], given[1:]
-    if len(first) == 1 and rest and len(rest[0]) > 1:  # an initial before the name one goes by
-        first, rest = rest[0], []
-    middle = rest[0][0] if rest else ""
-    return ("person", family, first if len(first) > 1 else "", _initials(first) if len(first) > 1 else first, middle)
 
-
-def distance(a: str, b: str, most: int = 3) -> int:
+def distance(a: str, b: str, most: int = 2) -> int:
     """Edits between two words (insert, delete, replace, swap of neighbours); above ``most`` it stops counting."""
     if abs(len(a) - len(b)) > most:
         return most + 1
@@ -176,133 +148,154 @@ def distance(a: str, b: str, most: int = 3) -> int:
     return last[-1]
 
 
-def agreement(a: tuple[str, str, str, str, str], b: tuple[str, str, str, str, str]) -> float:
-    """How well two readings agree, 0 if they contradict each other: family name, given name or initial, middle initial."""
-    if (a[0] == "org") != (b[0] == "org"):
-        return 0.0
-    wrong = distance(a[1], b[1])
-    shorter = min(len(a[1]), len(b[1]))
-    if wrong > (0 if shorter < 4 else 1 if shorter < 6 else 2):
-        return 0.0
-    if a[0] == "org":
-        return 0.0 if a[2] != b[2] else TWICE if wrong == 2 else 1.0 - 0.1 * wrong
-    if a[4] and b[4] and a[4] != b[4]:
-        return 0.0
-    if not a[2] and not a[3] or not b[2] and not b[3]:
-        return 0.0
-    if a[2] and b[2]:
-        if set(full_names(a[2])) & set(full_names(b[2])):
-            typed = int(a[2] not in _GIVEN) + int(b[2] not in _GIVEN) if a[2] != b[2] else 0
-        else:
-            typed = min(distance(x, y) for x in [a[2], *full_names(a[2])] for y in [b[2], *full_names(b[2])])
-            known = a[2] in _GIVEN and b[2] in _GIVEN
-            if known or typed > (1 if min(len(a[2]), len(b[2])) < 7 else 2):
-                return 0.0
-        return TWICE if wrong == 2 else 1.0 - 0.1 * (wrong + typed) if wrong + typed <= 3 else 0.0
-    if not set(a[3]) & set(b[3]):
-        return 0.0
-    return TWICE if wrong == 2 else (0.85 if a[2] or b[2] else 0.9) - 0.1 * wrong
-
-
-NODE = ["kind", "family", "given", "initial", "middle"]
-
+def slips(a: str, b: str) -> int:
+    """Edits by which one word may be the other, mistyped: two at most, fewer in short words; -1 if it can't be."""
+    shorter, edits = min(len(a), len(b)), distance(a, b)
+    return edits if edits <= (0 if shorter < 4 else 1 if shorter < 6 else 2) else -1
 
-def given_lexicon(names: DataFrame) -> frozenset[str]:
-    """The fixed given names and the words of the corpus that meet very many different other words."""
-    words = names.select(F.array_distinct(F.regexp_extract_all(F.lower("value"), F.lit(r"\p{L}{2,}"), 0)).alias("w")).filter("size(w) = 2")
-    pairs = words.select(F.explode(F.array(F.struct(F.col("w")[0].alias("a"), F.col("w")[1].alias("b")), F.struct(F.col("w")[1].alias("a"), F.col("w")[0].alias("b")))).alias("p"))
-    least = max(GIVEN_PARTNERS, int(GIVEN_SHARE * words.count()))
-    many = pairs.groupBy("p.a").agg(F.approx_count_distinct("p.b", 0.05).alias("n")).filter(F.col("n") >= least)
-    learned = {fold(r.a) for r in bounded_collect(many.select("a"), int(3 / GIVEN_SHARE))}
-    return _GIVEN | frozenset(w for w in learned if w not in _ORG and w not in LEGAL and w not in TITLES and w not in ("via", "web", "the", "build", "account", "contractor"))
 
+def name_readings(names: DataFrame) -> DataFrame:
+    """``value, kind, family, given, middle``: the readings that count of each distinct typed name that stands for somebody.
 
-def name_nodes(names: DataFrame) -> DataFrame:
-    """``value, node`` and the node's parts for each distinct typed name that stands for somebody.
-
-    A handle takes the reading whose family name most typed names share; one without support keeps the whole word.
+    The second order of a name counts if its first word is the rarer one among all names; a single word counts as the names it can be
+    cut into (with both parts, or the part beside an initial, known from other names), else as itself.
     """
-    given = given_lexicon(names)
 
     def read_all(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = [(v, k, *r) for v in batch["value"] for k, r in enumerate(readings(v, given))]
-            yield pd.DataFrame(rows, columns=["value", "choice", *NODE])
-
-    read_ = cut(names.select("value").distinct().mapInPandas(read_all, "value string, choice int, kind string, family string, given string, initial string, middle string"))
-    clear = read_.filter("kind <> 'handle'")
-    support = clear.filter("kind = 'person'").groupBy("family").agg(F.count("*").alias("support"))
-    handles = read_.filter("kind = 'handle'").join(support, "family", "left")
-    best = Window.partitionBy("value").orderBy(F.coalesce("support", F.lit(0)).desc(), "choice")
-    whole = F.coalesce("support", F.lit(0)) > 0
-    handles = (
-        handles.withColumn("rank", F.row_number().over(best)).filter("rank = 1")
-        .withColumns({"kind": F.when(whole, "person").otherwise("handle"), "family": F.when(whole, F.col("family")).otherwise(F.lower("value")), "given": F.when(whole, F.col("given")).otherwise(""), "initial": F.when(whole, F.col("initial")).otherwise("")})
-    )
-    both = clear.select("value", *NODE).unionByName(handles.select("value", *NODE))
-    return both.withColumn("node", F.concat_ws("|", *NODE))
+            rows = [(v, k, *r) for v in batch["value"] for k, r in enumerate(readings(v))]
+            yield pd.DataFrame(rows, columns=["value", "choice", *READING])
+
+    read_ = cut(names.select("value").distinct().mapInPandas(read_all, "value string, choice int, kind string, family string, given string, middle string"))
+    persons = read_.filter("kind = 'person'")
+    known = cut(persons.select("value", F.explode(F.array("family", "given")).alias("word")).distinct().groupBy("word").agg(F.count("*").alias("n")))
+    of = lambda c: known.select(F.col("word").alias(c), F.col("n").alias(f"n_{c}"))
+    doubtful = read_.filter("choice > 0 and kind = 'person'")
+    turned = doubtful.join(of("family"), "family").join(of("given"), "given").filter("n_family < n_given").select("value", *READING)
+    words = read_.filter("kind = 'word'").select("value", F.col("family").alias("word"))
+    cuts = words.filter(F.length("word").between(5, LONGEST)).select("value", "word", F.explode(F.sequence(F.lit(1), F.length("word") - 1)).alias("at"))
+    cuts = cuts.select("value", F.substring("word", F.lit(1), F.col("at")).alias("left"), F.substring("word", F.col("at") + 1, F.length("word")).alias("right"))
+    whole = known.select("word").withColumn("is", F.lit(True))
+    for side in ("left", "right"):
+        cuts = cuts.join(whole.withColumnsRenamed({"word": side, "is": f"{side}_known"}), side, "left").withColumn(f"{side}_known", F.coalesce(f"{side}_known", F.lit(False)) | (F.length(side) == 1))
+    cuts = cuts.filter((F.col("left_known") & F.col("right_known")) & (F.greatest(F.length("left"), F.length("right")) >= 4))
+    parts = F.explode(F.array(F.struct(F.col("left").alias("given"), F.col("right").alias("family")), F.struct(F.col("right").alias("given"), F.col("left").alias("family"))))
+    split = cuts.select("value", parts.alias("p")).select("value", F.lit("person").alias("kind"), "p.family", "p.given", F.lit("").alias("middle")).filter("length(family) > 1")
+    sure = read_.filter("kind <> 'word' and (choice = 0 or kind = 'org')").select("value", *READING)
+    return sure.unionByName(turned).unionByName(split).unionByName(read_.filter("kind = 'word'").select("value", *READING)).distinct()
+
+
+def grams(word: str) -> Counter:
+    """Character n-grams of a word between marks: three letters in order, and two letters next to or nearly next to each other in any
+    order, which a swap of neighbours leaves alone."""
+    w = f"^{word}$"
+    near = [w[i : i + 3] for i in range(len(w) - 2)] + ["".join(sorted(w[i : i + 2])) for i in range(len(w) - 1)]
+    return Counter(near + ["".join(sorted((w[i], w[i + 2]))) + "_" for i in range(len(w) - 2)])
+
+
+def vectors(words: DataFrame) -> DataFrame:
+    """``id, gram, weight, df``: unit vectors of TF-IDF weighted n-grams of ``id, tag, word``; n-grams of different tags are different."""
+
+    def spell(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for t in batches:
+            rows = [(i, f"{tag}:{g}", n) for i, tag, word in zip(t["id"], t["tag"], t["word"]) for g, n in grams(word).items()]
+            yield pd.DataFrame(rows, columns=["id", "gram", "tf"])
 
+    terms = cut(words.select("id", "tag", "word").mapInPandas(spell, "id string, gram string, tf int"))
+    df = terms.groupBy("gram").agg(F.count("*").alias("df"))
+    n = float(words.count())
+    weighted = terms.join(df, "gram").withColumn("w", F.sqrt("tf") * F.log(1 + F.lit(n) / F.col("df")))
+    norm = weighted.groupBy("id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
+    return cut(weighted.join(norm, "id").select("id", "gram", (F.col("w") / F.col("norm")).alias("weight"), "df"))
 
-def vectors(nodes: DataFrame) -> DataFrame:
-    """``node, gram, weight, df``: unit vectors of TF-IDF weighted character n-grams (two and three characters; three in given names).
 
-    The n-grams of the family name are tagged with the initial (the type, for an organisation), so that the members of a large
-    family meet only where they can be one person; those of the given name follow untagged.
-    """
-    tags = F.when(F.col("kind") == "org", F.array("given")).when(F.col("initial") == "", F.array(F.lit(""))).otherwise(F.split("initial", ""))
-    padded = lambda c: F.concat(F.lit("^"), F.col(c), F.lit("$"))
-    grams = lambda c, k: F.transform(F.sequence(F.lit(1), F.length(c) + 3 - k), lambda i: F.substring(padded(c), i, k))
-    tagged = nodes.select("node", F.explode(tags).alias("tag"), "family").filter("tag <> '' or node like 'handle%'")
-    family = tagged.select("node", "tag", F.explode(F.concat(grams("family", 2), grams("family", 3))).alias("g")).select("node", F.concat_ws(":", "tag", "g").alias("gram"))
-    given = nodes.filter("kind = 'person' and length(given) > 1").select("node", F.explode(grams("given", 3)).alias("g")).select("node", F.concat(F.lit("g:"), "g").alias("gram"))
-    terms = family.unionByName(given).groupBy("node", "gram").agg(F.count("*").alias("tf"))
-    df = terms.groupBy("gram").agg(F.count("*").alias("df"))
-    n = nodes.count()
-    weighted = terms.join(df, "gram").withColumn("w", F.sqrt("tf") * F.log(1 + F.lit(float(n)) / F.col("df")))
-    norm = weighted.groupBy("node").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    return weighted.join(norm, "node").select("node", "gram", (F.col("w") / F.col("norm")).alias("weight"), "df")
+def cosines(pairs: DataFrame, vecs: DataFrame) -> DataFrame:
+    """``a, b, cosine`` of the pairs that share any n-gram."""
+    one = lambda side: vecs.select(F.col("id").alias(side), "gram", F.col("weight").alias(f"w{side}"))
+    return pairs.join(one("a"), "a").join(one("b"), ["b", "gram"]).groupBy("a", "b").agg(F.sum(F.col("wa") * F.col("wb")).alias("cosine"))
 
 
-def candidate_pairs(vecs: DataFrame, threshold: float = COSINE) -> DataFrame:
-    """``a, b`` (a < b): a superset of the pairs of vectors with a cosine of at least the threshold.
+def similar_families(vecs: DataFrame, threshold: float = FAMILY) -> DataFrame:
+    """``a, b, cosine, edits`` (a < b) of the families, as ``tag|word``, with a cosine of at least the threshold that differ by slips only.
 
     Prefix filter: ordered from frequent to rare, the n-grams of a vector are left out of the index as long as together they weigh less
     than the threshold. If two vectors shared only n-grams left out of one of them, their cosine would be below the threshold; so every
-    pair shares one that both index, and frequent n-grams hardly ever key the join. Pairs whose family names differ by more than the
-    check of the parts allows are dropped inside the join, before anything is shuffled again.
+    pair shares one that both index, and frequent n-grams hardly ever key the join. Pairs whose lengths and letters differ by more than
+    slips are dropped inside the join.
     """
-    order = Window.partitionBy("node").orderBy(F.col("df").desc(), "gram")
+    order = Window.partitionBy("id").orderBy(F.col("df").desc(), "gram")
     rest = F.sum(F.col("weight") * F.col("weight")).over(order.rowsBetween(Window.unboundedPreceding, 0))
-    indexed = vecs.withColumn("rest", rest).filter(F.col("rest") >= threshold * threshold)
-    prefix = cut(indexed.select("gram", "node", F.element_at(F.split("node", r"\|"), 2).alias("family")))
-    left, right = prefix.withColumnsRenamed({"node": "a", "family": "fa"}), prefix.withColumnsRenamed({"node": "b", "family": "fb"})
-    near = (F.abs(F.length("fa") - F.length("fb")) <= 2) & (F.levenshtein("fa", "fb", 4) >= 0)
-    return left.join(right, "gram").filter((F.col("a") < F.col("b")) & near).select("a", "b").distinct()
+    prefix = cut(vecs.withColumn("rest", rest).filter(F.col("rest") >= threshold * threshold).select("gram", "id", F.substring_index("id", "|", -1).alias("word")))
+    left, right = prefix.withColumnsRenamed({"id": "a", "word": "wa"}), prefix.withColumnsRenamed({"id": "b", "word": "wb"})
+    near = (F.abs(F.length("wa") - F.length("wb")) <= 2) & (F.levenshtein("wa", "wb", 4) >= 0)
+    pairs = left.join(right, "gram").filter((F.col("a") < F.col("b")) & near).select("a", "b", "wa", "wb").distinct()
 
+    def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for t in batches:
+            edits = [slips(x, y) for x, y in zip(t["wa"], t["wb"])]
+            yield t[["a", "b"]].assign(edits=edits)[[e >= 0 for e in edits]]
 
-def keep_similar(pairs: DataFrame, vecs: DataFrame, threshold: float = COSINE) -> DataFrame:
-    """The pairs (``a, b`` and more columns) whose vectors have a cosine of at least the threshold: a sum over shared n-grams."""
-    one = lambda side: vecs.select(F.col("node").alias(side), "gram", F.col("weight").alias(f"w{side}"))
-    shared = pairs.select("a", "b").join(one("a"), "a").join(one("b"), ["b", "gram"])
-    similar = shared.groupBy("a", "b").agg(F.sum(F.col("wa") * F.col("wb")).alias("cosine")).filter(F.col("cosine") >= threshold)
-    return pairs.join(similar, ["a", "b"])
+    checked = cut(pairs.mapInPandas(check, "a string, b string, edits int"))
+    return cosines(checked.select("a", "b"), vecs).filter(F.col("cosine") >= threshold).join(checked, ["a", "b"])
 
 
-def scored_pairs(pairs: DataFrame) -> DataFrame:
-    """``a, b, score``: the pairs whose parts agree."""
+def given_names(pairs: DataFrame, vecs: DataFrame) -> DataFrame:
+    """``a, b, cosine, edits`` of the pairs of whole given names, as ``tag|word``, that differ by slips only."""
 
     def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for t in batches:
-            score = [agreement(tuple(x.split("|")), tuple(y.split("|"))) for x, y in zip(t["a"], t["b"])]
-            yield pd.DataFrame({"a": t["a"], "b": t["b"], "score": score})[[s > 0 for s in score]]
+            edits = [slips(x.split("|")[1], y.split("|")[1]) for x, y in zip(t["a"], t["b"])]
+            yield t[["a", "b"]].assign(edits=edits)[[e >= 0 for e in edits]]
 
-    return pairs.select("a", "b").mapInPandas(check, "a string, b string, score double")
+    checked = cut(pairs.mapInPandas(check, "a string, b string, edits int"))
+    return cosines(checked.select("a", "b"), vecs).join(checked, ["a", "b"])
 
 
-def average_linkage(nodes: DataFrame, pairs: DataFrame, threshold: float = LINKAGE) -> DataFrame:
+def linked_names(read_: DataFrame, short_forms: dict[str, str] | None = None, threshold: float = COSINE) -> tuple[DataFrame, DataFrame]:
+    """``(of_value, pairs)``: each value's ``unit`` (values of the same readings are one) and the unit pairs ``a, b, score``."""
+    full = {k: v.split() for k, v in (SHORT_FORMS if short_forms is None else short_forms).items()}
+    node = F.concat_ws("|", "kind", "family", "given")
+    read_ = read_.withColumn("node", node)
+    of_value = cut(read_.groupBy("value").agg(F.concat_ws("/", F.array_sort(F.collect_set(F.concat_ws("|", "node", "middle")))).alias("unit"), F.max("middle").alias("middle")))
+    of_node = cut(read_.select("value", "node").join(of_value.select("value", "unit", "middle"), "value").select("unit", "node", "middle").distinct())
+
+    def options(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Each given name with all it may be short for."""
+        for t in batches:
+            rows = [(n, k, f, g) for n, k, f, given in zip(t["node"], t["kind"], t["family"], t["given"]) for g in (full.get(given, [given]) if k == "person" else [given])]
+            yield pd.DataFrame(rows, columns=["node", "kind", "family", "given"])
+
+    nodes = read_.filter("kind <> 'word' and given <> ''").select("node", "kind", "family", "given").distinct()
+    tag = F.concat(F.substring("kind", 1, 1), F.substring("given", 1, 1))
+    nodes = cut(nodes.mapInPandas(options, "node string, kind string, family string, given string").withColumns({"fam": F.concat_ws("|", tag, "family"), "giv": F.concat_ws("|", F.substring("kind", 1, 1), "given")}))
+    families = nodes.select(F.col("fam").alias("id"), F.substring_index("fam", "|", 1).alias("tag"), F.col("family").alias("word")).distinct()
+    near = similar_families(vectors(families))
+    near = cut(near.unionByName(families.select(F.col("id").alias("a"), F.col("id").alias("b"), F.lit(1.0).alias("cosine"), F.lit(0).alias("edits"))))
+    one = lambda s: nodes.select(F.col("fam").alias(s), F.col("node").alias(f"n{s}"), F.col("giv").alias(f"g{s}"))
+    met = cut(near.join(one("a"), "a").join(one("b"), "b").filter("na <> nb and (a <> b or na < nb)").select("na", "nb", "ga", "gb", "cosine", "edits"))
+    # cosines of the given names that meet; equal ones need none
+    given = nodes.select(F.col("giv").alias("id"), F.substring("kind", 1, 1).alias("tag"), F.col("given").alias("word")).filter("length(word) > 1").distinct()
+    asked = met.filter("ga <> gb").select(F.col("ga").alias("a"), F.col("gb").alias("b")).distinct()
+    like = given_names(asked, vectors(given)).withColumnsRenamed({"a": "ga", "b": "gb", "cosine": "like", "edits": "more"})
+    initial = lambda c: F.length(F.substring_index(c, "|", -1)) == 1
+    given_cosine = F.when(F.col("ga") == F.col("gb"), 1.0).when(initial("ga") | initial("gb"), INITIAL**0.5).otherwise(INITIAL + (1 - INITIAL) * F.col("like"))
+    mean, edits = (F.col("cosine") + given_cosine) / 2, F.col("edits") + F.coalesce("more", F.lit(0))
+    # names two slips apart support a class but make none
+    scored = met.join(like, ["ga", "gb"], "left").withColumn("score", F.when(edits <= 1, mean).otherwise(F.least(mean, F.lit(0.9 * threshold))))
+    scored = scored.filter((F.col("score") >= SUPPORT) & (edits <= 2))
+    scored = scored.groupBy(F.least("na", "nb").alias("a"), F.greatest("na", "nb").alias("b")).agg(F.max("score").alias("score"))
+    # from readings to names: the best readings count
+    unit = lambda s: of_node.select(F.col("node").alias(s), F.col("unit").alias(f"u{s}"), F.col("middle").alias(f"m{s}"))
+    equal = unit("a").join(unit("b"), F.col("a") == F.col("b")).select("ua", "ub", "ma", "mb", F.lit(1.0).alias("score"))
+    pairs = scored.join(unit("a"), "a").join(unit("b"), "b").select("ua", "ub", "ma", "mb", "score").unionByName(equal)
+    pairs = pairs.filter("ua <> ub and (ma = '' or mb = '' or ma = mb)")
+    return of_value.select("value", "unit"), cut(pairs.groupBy(F.least("ua", "ub").alias("a"), F.greatest("ua", "ub").alias("b")).agg(F.max("score").alias("score")))
+
+
+def average_linkage(nodes: DataFrame, pairs: DataFrame, threshold: float = COSINE) -> DataFrame:
     """``node, cluster`` by average linkage over scored pairs (pairs not listed score 0), in rounds of reciprocal nearest neighbours."""
-    member = cut(nodes.select("node", F.col("node").alias("cluster")))
-    links = cut(pairs.select("a", "b", F.col("score").alias("total")))
+    member = keep(nodes.select("node", F.col("node").alias("cluster")))
+    links = keep(pairs.select("a", "b", F.col("score").alias("total")))
     sizes = None
     while True:
         if sizes is None:
@@ -313,13 +306,13 @@ def average_linkage(nodes: DataFrame, pairs: DataFrame, threshold: float = LINKA
         near = means.filter(F.col("mean") >= threshold).withColumn("rank", F.struct("mean", F.xxhash64("a", "b").alias("h")))
         ends = near.select(F.col("a").alias("c"), "a", "b", "rank").unionByName(near.select(F.col("b").alias("c"), "a", "b", "rank"))
         nearest = ends.groupBy("c").agg(F.max_by(F.struct("a", "b"), "rank").alias("p"))
-        merges = cut(nearest.groupBy("p").agg(F.count("*").alias("both")).filter("both = 2").select(F.col("p.b").alias("old"), F.col("p.a").alias("new")))
+        merges = keep(nearest.groupBy("p").agg(F.count("*").alias("both")).filter("both = 2").select(F.col("p.b").alias("old"), F.col("p.a").alias("new")))
         if not merges.limit(1).count():
             return member
-        member = cut(member.join(merges.withColumnRenamed("old", "cluster"), "cluster", "left").select("node", F.coalesce("new", "cluster").alias("cluster")))
+        member = keep(member.join(merges.withColumnRenamed("old", "cluster"), "cluster", "left").select("node", F.coalesce("new", "cluster").alias("cluster")))
         moved = links.join(merges.select(F.col("old").alias("a"), F.col("new").alias("na")), "a", "left").join(merges.select(F.col("old").alias("b"), F.col("new").alias("nb")), "b", "left")
         moved = moved.select(F.coalesce("na", "a").alias("x"), F.coalesce("nb", "b").alias("y"), "total").filter("x <> y")
-        links = cut(moved.groupBy(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).agg(F.sum("total").alias("total")))
+        links = keep(moved.groupBy(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).agg(F.sum("total").alias("total")))
         sizes = member.groupBy("cluster").agg(F.count("*").alias("n"))
 
 
@@ -328,22 +321,16 @@ def typed_names(users_metadata: DataFrame) -> DataFrame:
     return users_metadata.filter("key = 'name' and id is not null and trim(value) <> ''").select(F.col("id").cast("long").alias("user_id"), F.trim("value").alias("value")).distinct()
 
 
-def linked_users(users_metadata: DataFrame) -> DataFrame:
+def linked_users(users_metadata: DataFrame, short_forms: dict[str, str] | None = None) -> DataFrame:
     """``user_id, cluster``: the users whose typed names stand for somebody, with the class of names they belong to."""
     names = cut(typed_names(users_metadata))
-    nodes = cut(name_nodes(names))
-    distinct = cut(nodes.select("node", *NODE).distinct())
-    vecs = cut(vectors(distinct))
-    # the check of the parts is the stricter test, so it comes before the cosine of all n-grams
-    pairs = cut(keep_similar(cut(scored_pairs(candidate_pairs(vecs))), vecs).select("a", "b", "score"))
-    of_user = cut(names.join(nodes.select("value", "node"), "value").select("user_id", "node").distinct())
-    clusters = average_linkage(distinct, pairs)
-    found = cut(of_user.join(clusters, "node").select("user_id", "cluster").distinct())
+    of_value, pairs = linked_names(cut(name_readings(names)), short_forms)
+    clusters = average_linkage(of_value.select(F.col("unit").alias("node")).distinct(), pairs)
+    found = cut(names.join(of_value, "value").join(clusters.withColumnRenamed("node", "unit"), "unit").select("user_id", F.xxhash64("cluster").alias("cluster")).distinct())
     # the names of one user stand for one: its classes are one class, whatever their names look like
     following = found.withColumn("next", F.lead("cluster").over(Window.partitionBy("user_id").orderBy("cluster"))).filter("next is not null")
-    same = following.select(F.col("cluster").alias("a"), F.col("next").alias("b"), F.lit(1.0).alias("score")).distinct()
-    united = average_linkage(found.select(F.col("cluster").alias("node")).distinct(), same, 1e-12)
-    return found.withColumnRenamed("cluster", "node").join(united, "node").select("user_id", "cluster").distinct()
+    united = components(following.select(F.col("cluster").alias("a"), F.col("next").alias("b")))
+    return found.join(united.withColumnRenamed("node", "cluster"), "cluster", "left").select("user_id", F.coalesce("leader", "cluster").alias("cluster")).distinct()
 
 
 def same_pairs(linked: DataFrame) -> DataFrame:
