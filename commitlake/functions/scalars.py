@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import codecs
 import json
 import zlib
 from functools import reduce
@@ -178,18 +179,11 @@ def try_int(text: Column) -> Column:
 
 
 def _escape(raw: bytes | None) -> str | None:
-    if raw is None:
-        return None
-    out, rest = [], bytes(raw)
-    while rest:
-        try:
-            out.append(rest.decode("utf-8").replace("%", "%%"))
-            break
-        except UnicodeDecodeError as e:
-            out.append(rest[: e.start].decode("utf-8").replace("%", "%%"))
-            out.append(f"%{rest[e.start]:x}")
-            rest = rest[e.start + 1 :]
-    return "".join(out)
+    def in_percent(e: UnicodeDecodeError) -> tuple[str, int]:
+        return f"%{e.object[e.start]:x}", e.start + 1
+
+    codecs.register_error("commitlake.percent", in_percent)
+    return None if raw is None else bytes(raw).replace(b"%", b"%%").decode("utf-8", "commitlake.percent")
 
 
 def escaped_text(raw: Column) -> Column:

@@ -12,19 +12,14 @@ empty table gives empty results; other columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from commitlake.session import cut
+from commitlake.session import cut, keep, small
 
 SPLIT = 8
 #: Equal-width stretches of the potential axis on which circles are localised; bounds the rows of the sweep.
 STRETCHES = 16_384
-#: Links of a reduced graph up to which one task solves it (16 bytes each); a larger one is reduced again.
-SOLVE = 100_000
 
 
 def latest_links(commits: DataFrame, position: str = "_seq") -> DataFrame:
@@ -136,14 +131,19 @@ def edges_of(links: DataFrame) -> DataFrame:
 def localise(edges: DataFrame, links: DataFrame) -> DataFrame:
     """Exact pruning: only the links that can lie on a circle.
 
-    Going round a circle the potential (commit time) cannot fall at every link, and each stretch of the axis a circle spans is
-    crossed by one of its rising links. So a circle lies within one maximal stretch covered by rising links (or links with an
-    unknown potential, which make this pruning void). The sweep runs over at most ``2 * STRETCHES`` rows, whatever the input.
+    Going round a circle the potential (commit time) cannot fall at every link, and each stretch of the axis a circle spans is crossed
+    by one of its rising links, whatever number each node has. So a circle lies within one maximal stretch covered by rising links. A
+    node without a number takes the highest one around it, which keeps its links short. The sweep runs over at most ``2 * STRETCHES``
+    rows, whatever the input.
     """
     at = links.select("id", "potential")
     span = at.agg(F.min("potential").alias("lo"), F.max("potential").alias("hi"), F.count(F.when(F.col("potential").isNull(), 1)).alias("unknown")).first()
-    if span["lo"] is None or span["unknown"]:
+    if span["lo"] is None:
         return edges
+    if span["unknown"]:
+        ends = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).join(at.filter("potential is null").select(F.col("id").alias("a")), "a", "left_semi")
+        around = ends.join(at.filter("potential is not null").select(F.col("id").alias("b"), "potential"), "b").groupBy(F.col("a").alias("id")).agg(F.max("potential").alias("near"))
+        at = cut(at.join(around, "id", "left").select("id", F.coalesce("potential", "near", F.lit(span["lo"])).alias("potential")))
     width = max(1, (span["hi"] - span["lo"]) // STRETCHES + 1)
     placed = at.select("id", F.floor((F.col("potential") - F.lit(span["lo"])) / F.lit(width)).cast("int").alias("s"), "potential")
     e = edges.join(placed.select(F.col("id").alias("a"), F.col("s").alias("sa"), F.col("potential").alias("pa")), "a")
@@ -164,92 +164,36 @@ def trim(edges: DataFrame) -> DataFrame:
     """Drop links whose start nothing leads to or whose end leads nowhere: they lie on no circle."""
     edges = edges.join(edges.select(F.col("b").alias("a")).distinct(), "a", "left_semi")
     edges = edges.join(edges.select(F.col("a").alias("b")).distinct(), "b", "left_semi").select("a", "b")
-    return cut(edges)
-
-
-def strong_classes(edges: list[tuple[int, int]]) -> dict[int, int]:
-    """The smallest id of the strongly connected class of every node on a circle (one depth-first pass, no recursion)."""
-    onward: dict[int, list[int]] = {}
-    for a, b in edges:
-        onward.setdefault(a, []).append(b)
-    number: dict[int, int] = {}
-    low: dict[int, int] = {}
-    open_: list[int] = []
-    inside: set[int] = set()
-    out: dict[int, int] = {}
-    for start in sorted(onward):
-        if start in number:
-            continue
-        todo = [(start, iter(onward[start]))]
-        number[start] = low[start] = len(number)
-        open_.append(start)
-        inside.add(start)
-        while todo:
-            node, rest = todo[-1]
-            for b in rest:
-                if b not in number:
-                    number[b] = low[b] = len(number)
-                    open_.append(b)
-                    inside.add(b)
-                    todo.append((b, iter(onward.get(b, ()))))
-                    break
-                if b in inside:
-                    low[node] = min(low[node], number[b])
-            else:
-                todo.pop()
-                if todo:
-                    low[todo[-1][0]] = min(low[todo[-1][0]], low[node])
-                if low[node] == number[node]:
-                    members = [open_.pop()]
-                    while members[-1] != node:
-                        members.append(open_.pop())
-                    inside.difference_update(members)
-                    if len(members) > 1 or node in onward.get(node, ()):
-                        out.update(dict.fromkeys(members, min(members)))
-    return out
-
-
-def _solve(edges: DataFrame) -> DataFrame:
-    """The classes of a graph counted to be small, in one task."""
-
-    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        pairs = [p for t in batches for p in zip(t["a"].tolist(), t["b"].tolist())]
-        found = strong_classes(pairs)
-        yield pd.DataFrame({"id": list(found), "comp": list(found.values())}, dtype="int64")
-
-    return edges.coalesce(1).mapInPandas(rows, "id bigint, comp bigint")
+    return keep(edges)
 
 
 def _walks(edges: DataFrame, level: int, split: int) -> DataFrame:
     """All ``a, b`` such that a walk from ``a`` reaches ``b`` meeting no splitter in between (doubling to the fixed point)."""
-    pairs = cut(edges.distinct())
+    pairs = keep(edges.distinct())
     size = pairs.count()
     while True:
         onward = pairs.filter(~splitter("b", level, split))
         further = onward.select("a", F.col("b").alias("m")).join(pairs.select(F.col("a").alias("m"), "b"), "m").select("a", "b")
-        pairs = cut(pairs.unionByName(further).distinct())
+        pairs = keep(pairs.unionByName(further).distinct())
         grown = pairs.count()
         if grown == size:
             return pairs
         size = grown
 
 
-def circles(edges: DataFrame, level: int = 0, split: int = SPLIT, solve: int = SOLVE) -> DataFrame:
+def circles(edges: DataFrame, level: int = 0, split: int = SPLIT) -> DataFrame:
     """``id, comp``: the nodes from which the links lead back to themselves, ``comp`` equal within a strongly connected class.
 
-    The reduced graph over splitters is solved in one task once it is counted to have at most ``solve`` links, and by the same function
-    one level down before. A node between splitters belongs to the class of a splitter that reaches it and that it reaches; classes
-    without any splitter are read off the mutual walks.
+    The reduced graph over splitters is solved by the same function, with splitters drawn anew. A node between splitters belongs to the
+    class of a splitter that reaches it and that it reaches; classes without any splitter are read off the mutual walks.
     """
     pairs = _walks(trim(edges), level, split)
     s_a, s_b = splitter("a", level, split), splitter("b", level, split)
-    reduced = cut(pairs.filter(s_a & s_b))
-    if reduced.limit(solve + 1).count() <= solve:
-        of_splitter = cut(_solve(reduced))
-    else:
-        loops = reduced.filter("a = b").select(F.col("a").alias("id"), F.col("a").alias("comp"))
-        deeper = circles(reduced.filter("a <> b"), level + 1, split, solve)
-        of_splitter = cut(deeper.unionByName(loops.join(deeper, "id", "left_anti")))
+    reduced = keep(pairs.filter(s_a & s_b))
+    of_splitter = reduced.filter("a = b").select(F.col("a").alias("id"), F.col("a").alias("comp"))
+    if reduced.filter("a <> b").limit(1).count():
+        deeper = circles(reduced.filter("a <> b"), level + 1, split)
+        of_splitter = keep(deeper.unionByName(of_splitter.join(deeper, "id", "left_anti")))
     ahead = pairs.filter(~s_a & s_b).join(of_splitter.withColumnRenamed("id", "b"), "b").select(F.col("a").alias("id"), "comp")
     behind = pairs.filter(s_a & ~s_b).join(of_splitter.withColumnRenamed("id", "a"), "a").select(F.col("b").alias("id"), "comp")
     between = ahead.distinct().join(behind.distinct(), ["id", "comp"], "left_semi")
@@ -257,7 +201,7 @@ def circles(edges: DataFrame, level: int = 0, split: int = SPLIT, solve: int = S
     mutual = pairs.filter(~s_a & ~s_b)
     mutual = mutual.join(mutual.select(F.col("b").alias("a"), F.col("a").alias("b")), ["a", "b"], "left_semi")
     splitterless = mutual.groupBy("a").agg(F.min("b").alias("comp")).withColumnRenamed("a", "id")
-    return cut(found.unionByName(splitterless.join(found, "id", "left_anti")))
+    return keep(found.unionByName(splitterless.join(found, "id", "left_anti")))
 
 
 def circular_nodes(links: DataFrame) -> DataFrame:

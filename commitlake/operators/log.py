@@ -60,7 +60,8 @@ def dense_ids(values: DataFrame, value: str, first: str, out: str = "id", start:
 def get_or_create(dictionary: DataFrame, values: DataFrame, value: str, id_: str, first: str) -> DataFrame:
     """``value, id, is_new`` for every value: its id in the dictionary, or the next dense id in order of first appearance."""
     known = dictionary.select(value, id_).filter(F.col(value).isNotNull()).groupBy(value).agg(F.min(id_).alias(id_))
-    start = (dictionary.agg(F.max(id_).alias("m")).first()["m"] or -1) + 1
+    highest = dictionary.agg(F.max(id_).alias("m")).first()["m"]  # may be 0, the sentinel alone
+    start = 0 if highest is None else highest + 1
     fresh = dense_ids(values.join(known.select(value), value, "left_anti"), value, first, id_, start)
     found = values.select(value).filter(F.col(value).isNotNull()).distinct().join(known, value)
     return found.withColumn("is_new", F.lit(False)).unionByName(fresh.withColumn("is_new", F.lit(True)))

@@ -1,52 +1,42 @@
 """Positions within ordered groups, without ever sorting one whole group in one task.
 
-A plain ``row_number() over (partition by key)`` puts every row of a hot key into a single task. Here the order axis is cut
-into quantile blocks, rows are numbered inside ``(key, block)`` and the block offsets come from the per-block counts, of
-which a key has at most ``blocks``.
+A plain ``row_number() over (partition by key)`` puts every row of a hot key into a single task. Here the rows are range-partitioned by
+key and order together, so a hot key spreads over as many partitions as its rows need; a row's position is its place in its partition,
+less the place of its key's first row there, plus the key's rows in the partitions before, of which there are at most as many as
+partitions.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-BLOCKS = 48
-BLK = "__blk"
+from commitlake.session import cut
 
+#: Bits of ``monotonically_increasing_id`` that number the rows of a partition; the others number the partition.
+ROW_BITS = 33
 
-def block_of(df: DataFrame, axis: str, blocks: int = BLOCKS) -> Column:
-    """Block number of ``axis`` between approximate quantiles (at most ``blocks - 1`` numbers reach the driver); null is block 0."""
-    probs = [i / blocks for i in range(1, blocks)]
-    bounds = df.agg(F.percentile_approx(F.col(axis).cast("double"), probs, 2000).alias("q")).first()["q"] or []
-    bounds = sorted(set(bounds))
-    axis_d = F.col(axis).cast("double")
-    hits = [F.when(axis_d >= F.lit(float(b)), 1).otherwise(0) for b in bounds]
-    return reduce(lambda a, b: a + b, hits, F.lit(0))
 
-
-def positions(df: DataFrame, keys: list[str], order: list[str], out: str = "idx", blocks: int = BLOCKS) -> DataFrame:
+def positions(df: DataFrame, keys: list[str], order: list[str], out: str = "idx", blocks: int | None = None) -> DataFrame:
     """Add the 1-based position ``out`` of each row in its group ``keys`` ordered by ``order`` (nulls first, unique per group).
 
-    The first column of ``order`` must be numeric; it is the block axis.
+    ``blocks``: number of ranges; by default that of the shuffle partitions, or fewer where the rows are few.
     """
-    blocked = df.withColumn(BLK, block_of(df, order[0], blocks))
-    inside = Window.partitionBy(*keys, BLK).orderBy(*[F.col(c).asc_nulls_first() for c in order])
-    numbered = blocked.withColumn("__rn", F.row_number().over(inside))
-    before = Window.partitionBy(*keys).orderBy(BLK).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        blocked.groupBy(*keys, BLK).count()
-        .withColumn("__off", F.coalesce(F.sum("count").over(before), F.lit(0)))
-        .drop("count")
-        .withColumnsRenamed({c: f"__k_{c}" for c in [*keys, BLK]})
-    )
-    cond = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"__k_{c}")) for c in [*keys, BLK]])
-    joined = numbered.join(offsets, cond, "inner")
-    return joined.withColumn(out, F.col("__rn") + F.col("__off")).drop("__rn", "__off", BLK, *[f"__k_{c}" for c in [*keys, BLK]])
-
-
-def with_previous(df: DataFrame, keys: list[str], order: list[str], state: list[str], blocks: int = BLOCKS) -> DataFrame:
+    by = [F.col(c).asc_nulls_first() for c in [*keys, *order]]
+    ranged = df.repartitionByRange(blocks, *by) if blocks else df.repartitionByRange(*by)
+    # written once: every later use must see the same numbers
+    placed = cut(ranged.sortWithinPartitions(*by).withColumn("__at", F.monotonically_increasing_id()))
+    part = F.shiftright("__at", ROW_BITS)
+    stretches = placed.groupBy(*keys, part.alias("__part")).agg(F.count("*").alias("__n"), F.min("__at").alias("__first"))
+    before = F.sum("__n").over(Window.partitionBy(*keys).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = stretches.select(*[F.col(k).alias(f"__k_{k}") for k in keys], F.col("__part").alias("__k_part"), (F.coalesce(before, F.lit(0)) - F.col("__first") + 1).alias("__shift"))
+    cond = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__k_{k}")) for k in keys], part == F.col("__k_part"))
+    return placed.join(offsets, cond).withColumn(out, F.col("__at") + F.col("__shift")).drop("__at", "__shift", "__k_part", *[f"__k_{k}" for k in keys])
+
+
+def with_previous(df: DataFrame, keys: list[str], order: list[str], state: list[str], blocks: int | None = None) -> DataFrame:
     """Add ``prev_<c>`` for each state column and ``has_prev`` from the row before in the group."""
     placed = positions(df, keys, order, "__pos", blocks)
     prev = placed.select(

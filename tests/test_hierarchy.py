@@ -68,7 +68,7 @@ def test_circles_of_any_graph(spark, edges):
 @given(st.integers(2, 30).flatmap(lambda n: st.lists(st.tuples(st.integers(0, n - 1), st.integers(0, n - 1)), min_size=1, max_size=2 * n)))
 def test_circles_reduced_again_and_again(spark, edges):
     got = {}
-    for r in hierarchy.circles(spark.createDataFrame(edges, "a bigint, b bigint").distinct(), split=2, solve=0).collect():
+    for r in hierarchy.circles(spark.createDataFrame(edges, "a bigint, b bigint").distinct(), split=2).collect():
         got.setdefault(r.comp, set()).add(r.id)
     nodes = {x for e in edges for x in e}
     want = {}
