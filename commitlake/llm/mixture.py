@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from commitlake.llm.leakage import spread
-from commitlake.session import bounded_collect, cut
+from commitlake.session import bounded_collect, cut, small
 
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.json"
 SEED = 17
@@ -99,7 +99,7 @@ def mixture(counts: DataFrame, mix_targets: DataFrame, total: int | None = None,
     ranked = cut(ranked.withColumn("bucket", F.least(F.floor(F.lit(float(BUCKETS)) * F.col("rank") / (1 + F.col("rank"))), F.lit(BUCKETS - 1)).cast("int")))
     before = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     buckets = ranked.filter("rank is not null").groupBy("source", "bucket").agg(F.sum("tokens").alias("in_bucket")).withColumn("before", F.coalesce(F.sum("in_bucket").over(before), F.lit(0)))
-    placed = ranked.join(F.broadcast(buckets), ["source", "bucket"], "left")  # at most BUCKETS rows per named source
+    placed = ranked.join(small(cut(buckets)), ["source", "bucket"], "left")
     inside = Window.partitionBy("source", "bucket").orderBy("rank", "doc_id").rowsBetween(Window.unboundedPreceding, 0)
     cut_bucket = placed.filter((F.col("before") < F.col("rest")) & (F.col("before") + F.col("in_bucket") > F.col("rest")))
     # taken while the middle of a document lies before the rest of the goal, so the sum is off by half a document at most

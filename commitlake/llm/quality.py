@@ -139,35 +139,47 @@ def learn(patterns: np.ndarray, counts: np.ndarray, rounds: int = ROUNDS) -> tup
     return priors, emission if k else np.full((t, m, t + 1), 1 / (t + 1))
 
 
+def pattern(functions: dict[str, Column]) -> Column:
+    """All votes of a document as one number, a digit per function."""
+    key = F.lit(0).cast("bigint")
+    for v in functions.values():
+        key = key * (len(TYPES) + 1) + (v + 1).cast("bigint")
+    return key
+
+
+def digits(keys: list[int], n: int) -> np.ndarray:
+    """The votes of patterns, a row each."""
+    base = len(TYPES) + 1
+    return np.array([[k // base ** (n - 1 - j) % base - 1 for j in range(n)] for k in keys], dtype=int).reshape(len(keys), n)
+
+
+def posteriors(patterns: np.ndarray, priors: np.ndarray, emission: np.ndarray) -> np.ndarray:
+    """The posterior of every type for each pattern."""
+    log_p = np.log(priors)[None, :] + sum((np.log(emission[:, j, :][:, patterns[:, j] + 1]).T for j in range(patterns.shape[1])), np.zeros((len(patterns), len(TYPES))))
+    log_p = np.exp(log_p - log_p.max(axis=1, keepdims=True))
+    return log_p / log_p.sum(axis=1, keepdims=True)
+
+
 def classify(stats: DataFrame) -> DataFrame:
-    """Add the posterior of each type (``p_<type>``) and ``text_type``, null where the text is null."""
+    """Add the posterior of each type (``p_<type>``) and ``text_type``, null where the text is null.
+
+    Documents of equal votes have equal posteriors, so these are computed once per pattern and joined back.
+    """
     functions = votes()
-    voted = stats.withColumns(functions)
-    counted = bounded_collect(voted.filter("n_chars is not null").groupBy(*functions).count(), MAX_PATTERNS)
-    if not counted:
-        return stats.withColumns({f"p_{t}": F.lit(None).cast("double") for t in TYPES} | {"text_type": F.lit(None).cast("string")})
-    patterns = np.array([[r[f] for f in functions] for r in counted], dtype=int)
-    voting = (patterns >= 0).any(axis=0)  # a function that never votes tells nothing
-    functions = {f: v for (f, v), any_ in zip(functions.items(), voting) if any_} if voting.any() else functions
-    patterns = patterns[:, voting] if voting.any() else patterns
-    priors, emission = learn(patterns, np.array([r["count"] for r in counted], dtype=float))
-    scores = {}
-    for i, t in enumerate(TYPES):
-        score = F.lit(float(np.log(priors[i])))
-        for j, f in enumerate(functions):
-            table = F.array(*[F.lit(float(x)) for x in np.log(emission[i, j])])
-            score = score + F.element_at(table, F.col(f) + 2)
-        scores[f"s_{t}"] = score
-    scored = voted.withColumns(scores)
-    top = F.greatest(*[F.col(s) for s in scores])
-    total = sum((F.exp(F.col(s) - top) for s in scores), F.lit(0.0))
-    scored = scored.withColumns({f"p_{t}": F.when(F.col("n_chars").isNotNull(), F.exp(F.col(f"s_{t}") - top) / total) for t in TYPES})
-    kind = F.when(F.col("n_chars").isNull(), None).when(F.col("n_words") == 0, "junk")
-    for t in TYPES:
-        kind = kind.when(F.col(f"s_{t}") == top, t)
-    return scored.withColumn("text_type", kind).drop(*scores, *votes())
+    voted = cut(stats.withColumn("__votes", F.when(F.col("n_chars").isNotNull(), pattern(functions))))
+    counted = bounded_collect(voted.filter("__votes is not null").groupBy("__votes").count(), MAX_PATTERNS)
+    patterns = digits([r["__votes"] for r in counted], len(functions))
+    told: list = []
+    if counted:
+        voting = (patterns >= 0).any(axis=0)  # a function that never votes tells nothing
+        used = patterns[:, voting] if voting.any() else patterns
+        told = posteriors(used, *learn(used, np.array([r["count"] for r in counted], dtype=float))).tolist()
+    table = [(r["__votes"], *p, TYPES[int(np.argmax(p))]) for r, p in zip(counted, told)]
+    known = stats.sparkSession.createDataFrame(table, "__votes bigint, " + ", ".join(f"p_{t} double" for t in TYPES) + ", __type string")
+    joined = voted.join(F.broadcast(known), "__votes", "left")  # at most MAX_PATTERNS rows
+    return joined.withColumn("text_type", F.when(F.col("n_chars").isNotNull() & (F.col("n_words") == 0), "junk").otherwise(F.col("__type"))).drop("__votes", "__type")
 
 
 def text_types(documents: DataFrame, common_words: DataFrame) -> DataFrame:
     """``doc_id``, the statistics, the posteriors and ``text_type``."""
-    return classify(cut(statistics(spread(documents.select("doc_id", "text")), common_words)))
+    return classify(statistics(spread(documents.select("doc_id", "text")), common_words))

@@ -44,14 +44,19 @@ def p8_clean(spark: SparkSession, d: str) -> DataFrame:
     return leakage.decontaminated(documents, leakage.leaks(documents, read(spark, d, "eval_items"))).select("doc_id")
 
 
+def _mixture(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """Inclusion of the fractional copies is proportional to the size of a document."""
+    return mixture.mixture(mixture.token_counts(read(spark, d, "documents")), read(spark, d, "mix_targets"), weight="tokens")
+
+
 def p9_mixture(spark: SparkSession, d: str) -> DataFrame:
     """The documents of the mixture with their copies."""
-    return mixture.mixture(mixture.token_counts(read(spark, d, "documents")), read(spark, d, "mix_targets"))[0]
+    return _mixture(spark, d)[0]
 
 
 def p9_shares(spark: SparkSession, d: str) -> DataFrame:
     """The share each source was to reach and the one it reached."""
-    return mixture.mixture(mixture.token_counts(read(spark, d, "documents")), read(spark, d, "mix_targets"))[1]
+    return _mixture(spark, d)[1]
 
 
 def p10_found(spark: SparkSession, d: str) -> DataFrame:
