@@ -162,7 +162,14 @@ def commit_output(spark: SparkSession, output: str, deltas: DataFrame, processed
     out.write(bytearray(text, "utf-8"))
     out.close()
     final = jvm.org.apache.hadoop.fs.Path(f"{output}/_commits/{version:012d}.json")
-    if fs.exists(final) or not fs.rename(staged, final):
+    kinds = jvm.org.apache.hadoop.fs.Options.Rename
+    options = spark.sparkContext._gateway.new_array(kinds, 1)
+    options[0] = kinds.NONE  # a rename that fails if the version is there, so of two runs one wins
+    try:
+        jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri()).rename(fs.makeQualified(staged), fs.makeQualified(final), options)
+    except Exception:
+        if not fs.exists(final):
+            raise
         fs.delete(staged, False)
         return False
     return True

@@ -9,7 +9,7 @@ from commitlake.functions import scalars as S
 from commitlake.functions import tables
 from commitlake.operators import log, savepoint, verify
 from commitlake.operators.history import status_state
-from commitlake.session import read, small
+from commitlake.session import checkpoint_dir, read, small
 
 LOGS = ["commits_info", "contents", "path_strings", "project_heads", "project_metadata", "project_updates", "users_metadata"]
 KEY_OF = dict(zip(LOGS, ["commit_id", "hash_id", "path_id", "project_id", "project_id", "project_id", "id"]))
@@ -167,9 +167,11 @@ def w16_create_savepoint(spark, d):
 
 
 def w17_revert(spark, d):
-    """Records per project left after reverting the status log to its middle."""
+    """Records per project left after reverting the status log to a savepoint at its middle."""
     updates = read(spark, d, "project_updates")
-    return log.history(log.as_of(updates, _half(updates))).groupBy("project_id").agg(F.count("*").alias("records"))
+    manifest = savepoint.create(spark, {"project_updates": log.as_of(updates, _half(updates))}, "middle", 0, 1)
+    paths = savepoint.revert(spark, {"project_updates": updates}, manifest, "middle", f"{checkpoint_dir(spark)}/reverted")
+    return log.history(spark.read.parquet(paths["project_updates"])).groupBy("project_id").agg(F.count("*").alias("records"))
 
 
 def w18_savepoint_size(spark, d):

@@ -118,6 +118,16 @@ l as materialized ({_LATEST}),
 e as materialized (select distinct commit_id a, p b from (select commit_id, unnest(parents) p from l) q where p in (select commit_id from l))
 """
 
+_LINES = r"""
+with r as (select raw_id, coalesce(raw_line, '') l from raw_projects),
+f as (select raw_id, l, regexp_full_match(l, '(?s)[ \t\r]*("([^"\\]|\\.)*"[ \t\r]*|[^",]*)(,[ \t\r]*("([^"\\]|\\.)*"[ \t\r]*|[^",]*))*') ok,
+  list_transform(regexp_extract_all(',' || l, '(?s),[ \t\r]*("(?:[^"\\]|\\.)*"|[^",]*)', 1), lambda x:
+    case when starts_with(x, '"') then regexp_replace(substr(x, 2, length(x) - 2), '(?s)\\(.)', '\1', 'g') else regexp_replace(x, '[ \t\r]+$', '') end) v from r),
+c as (select raw_id, v, case when not ok then 'quoting' when l = '' or len(v) <> 12 then 'column_count'
+  when not (regexp_full_match(v[2], '[A-Za-z0-9._-]+/[A-Za-z0-9._-]+') and (v[3] = '' or lower(v[3]) in (select lower(language_name) from language_names))
+    and v[5] in ('0', '1') and v[6] in ('0', '1') and v[7] in ('0', '1') and regexp_full_match(v[1] || ',' || v[4] || ',' || array_to_string(v[8:12], ','), '([0-9]+,){6}[0-9]+')) then 'value' end reason from f)
+"""
+
 SQL = {
     "p3_found": _OBSERVED + "select attr, project_id, item, _seq as from_seq from v",
     "p3_history": _PERIODS,
@@ -154,16 +164,11 @@ select project_id, metakey from c where trim(value) <> '' and not case value_typ
   when 'timestamp' then regexp_full_match(trim(value), '[+-]?[0-9]{1,12}(\.0*)?') or try_cast(replace(replace(trim(value), '/', '-'), 'Z', '') as timestamp) is not null
   else json_valid(value) and lower(trim(value)) <> 'null' end
 """,
-    "p6_found": r"""
-with r as (select raw_id, coalesce(raw_line, '') l from raw_projects),
-f as (select raw_id, l, regexp_full_match(l, '(?s)[ \t\r]*("([^"\\]|\\.)*"[ \t\r]*|[^",]*)(,[ \t\r]*("([^"\\]|\\.)*"[ \t\r]*|[^",]*))*') ok,
-  list_transform(regexp_extract_all(',' || l, '(?s),[ \t\r]*("(?:[^"\\]|\\.)*"|[^",]*)', 1), lambda x:
-    case when starts_with(x, '"') then regexp_replace(substr(x, 2, length(x) - 2), '(?s)\\(.)', '\1', 'g') else regexp_replace(x, '[ \t\r]+$', '') end) v from r),
-c as (select raw_id, case when not ok then 'quoting' when l = '' or len(v) <> 12 then 'column_count'
-  when not (regexp_full_match(v[2], '[A-Za-z0-9._-]+/[A-Za-z0-9._-]+') and (v[3] = '' or lower(v[3]) in (select lower(language_name) from language_names))
-    and v[5] in ('0', '1') and v[6] in ('0', '1') and v[7] in ('0', '1') and regexp_full_match(v[1] || ',' || v[4] || ',' || array_to_string(v[8:12], ','), '([0-9]+,){6}[0-9]+')) then 'value' end reason from f)
-select raw_id, reason from c where reason is not null
-""",
+    "p6_found": _LINES + "select raw_id, reason from c where reason is not null",
+    "p6_valid": _LINES + """
+select raw_id, try_cast(v[1] as bigint) as id, v[2] as name, nullif(v[3], '') as language, try_cast(v[4] as bigint) as created, v[5] = '1' as fork, v[6] = '1' as disabled, v[7] = '1' as archived,
+  try_cast(v[8] as bigint) as stars, try_cast(v[9] as bigint) as forks, try_cast(v[10] as bigint) as network_count, try_cast(v[11] as bigint) as subscribers, try_cast(v[12] as bigint) as size
+from c where reason is null""",
     "p7_found": """
 with runs as (select run_id, log_name, arg_max(struct_pack(o := outcome, a := from_seq, b := to_seq), struct_pack(t := reported_at, n := outcome <> 'ok')) r from ingest_runs group by 1, 2),
 ok as (select log_name, r.a a, r.b b from runs where r.o = 'ok'),
