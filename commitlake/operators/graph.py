@@ -5,11 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from commitlake.operators.hierarchy import SPLIT, _walks, splitter
-from commitlake.session import cut
+from commitlake.operators.hierarchy import _walks, splitter
+from commitlake.session import keep
 
+#: One node in so many is a splitter: where branches merge, walks between splitters multiply with their length.
+SPARSE = 4
 
-def reachable(roots: DataFrame, edges: DataFrame, level: int = 0, split: int = SPLIT) -> DataFrame:
+
+def reachable(roots: DataFrame, edges: DataFrame, level: int = 0, split: int = SPARSE) -> DataFrame:
     """``key, id``: all nodes reachable from the roots (``key, id``) along ``a, b``, roots included.
 
     The number of rounds grows with the logarithm of the depth: nodes walk to splitters by doubling, what the roots reach among the
@@ -17,14 +20,14 @@ def reachable(roots: DataFrame, edges: DataFrame, level: int = 0, split: int = S
     """
     roots = roots.select("key", "id").distinct()
     pairs = _walks(edges.select("a", "b"), level, split)
-    first = cut(roots.unionByName(roots.join(pairs.withColumnRenamed("a", "id"), "id").select("key", F.col("b").alias("id"))).distinct())
+    first = keep(roots.unionByName(roots.join(pairs.withColumnRenamed("a", "id"), "id").select("key", F.col("b").alias("id"))).distinct())
     stops = first.filter(splitter("id", level, split))
     if not stops.limit(1).count():
         return first
-    reduced = cut(pairs.filter(splitter("a", level, split) & splitter("b", level, split) & (F.col("a") != F.col("b"))))
+    reduced = keep(pairs.filter(splitter("a", level, split) & splitter("b", level, split) & (F.col("a") != F.col("b"))))
     through = reachable(stops, reduced, level + 1, split) if reduced.limit(1).count() else stops
     between = through.join(pairs.withColumnRenamed("a", "id"), "id").select("key", F.col("b").alias("id"))
-    return cut(first.unionByName(through).unionByName(between).distinct())
+    return keep(first.unionByName(through).unionByName(between).distinct())
 
 
 def edges(commits: DataFrame) -> DataFrame:
