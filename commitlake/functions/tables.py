@@ -84,3 +84,8 @@ CONTENTS_NUMBERS = {k: i for i, k in enumerate(CONTENTS_KINDS)}
 STORE_ALIASES = {name: kind for kind, (_, more) in STORE_KINDS.items() for name in [kind.lower(), *more]}
 KIND_OF_ENDING = {e: k for k, v in CONTENTS_KINDS.items() for e in v.split()}
 LANGUAGE_OF_EXTENSION = {e: k for k, v in LANGUAGES.items() for e in v.split()}
+
+# Languages of the sampled projects, in lower case.
+SAMPLED_LANGUAGES = [
+    "c", "c++", "c#", "objective-c", "go", "java", "coffeescript", "javascript", "typescript", "ruby", "php", "python", "perl", "haskell", "scala",
+]

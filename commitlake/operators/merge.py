@@ -35,6 +35,17 @@ def dictionary(target: DataFrame, source: DataFrame, id_: str, value: str, valid
     return rows.join(ids, value).select("source", F.col(id_).alias("target"), "is_new")
 
 
+def dictionary_of_all(target: DataFrame, sources: DataFrame, id_: str, value: str, valid: Column | None = None) -> DataFrame:
+    """``substore, source, target, is_new``: every source substore merged into one target at once.
+
+    New values get the next dense ids in the order of substores, then of ids, as if one substore were merged after the other.
+    """
+    rows = sources.filter(valid) if valid is not None else sources
+    rows = rows.filter(F.col(id_).isNotNull() & F.col(value).isNotNull() & F.col("substore").isNotNull()).select("substore", F.col(id_).alias("source"), value).distinct()
+    ids = get_or_create(target, rows.select(value, F.struct("substore", "source").alias("__first")), value, id_, "__first")
+    return rows.join(ids, value).select("substore", "source", F.col(id_).alias("target"), "is_new")
+
+
 def contents(target: DataFrame, source: DataFrame, hashes: DataFrame, valid: Column | None = None) -> DataFrame:
     """``hash_id, kind, contents`` to append, bytes copied as they are: new hashes, and known ones whose content the target lacks."""
     rows = source.filter(valid) if valid is not None else source

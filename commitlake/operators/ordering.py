@@ -30,7 +30,7 @@ def positions(df: DataFrame, keys: list[str], order: list[str], out: str = "idx"
     placed = cut(ranged.sortWithinPartitions(*by).withColumn("__at", F.monotonically_increasing_id()))
     part = F.shiftright("__at", ROW_BITS)
     stretches = placed.groupBy(*keys, part.alias("__part")).agg(F.count("*").alias("__n"), F.min("__at").alias("__first"))
-    before = F.sum("__n").over(Window.partitionBy(*keys).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1))
+    before = F.sum("__n").over(Window.partitionBy(*(keys or [F.lit(0)])).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1))
     offsets = stretches.select(*[F.col(k).alias(f"__k_{k}") for k in keys], F.col("__part").alias("__k_part"), (F.coalesce(before, F.lit(0)) - F.col("__first") + 1).alias("__shift"))
     cond = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__k_{k}")) for k in keys], part == F.col("__k_part"))
     return placed.join(offsets, cond).withColumn(out, F.col("__at") + F.col("__shift")).drop("__at", "__shift", "__k_part", *[f"__k_{k}" for k in keys])

@@ -3,10 +3,10 @@ import os
 import pytest
 
 import __spark_entry__ as entry
-from commitlake.plans import analysis, logs, problems, scalar
+from commitlake.plans import analysis, extra, logs, problems, scalar
 from tests.oracle import DATA, compare, connection
 
-MODULES = (problems, logs, analysis, scalar)
+MODULES = (problems, logs, analysis, scalar, extra)
 SQL = {n: s for m in MODULES for n, s in m.SQL.items()}
 QUERIES = {n: f for m in MODULES for n, f in m.QUERIES.items()}
 pytestmark = pytest.mark.skipif(not os.path.isdir(DATA), reason="test tables are not here")
