@@ -120,3 +120,25 @@ def test_descendants_through_any_parent(spark, tmp_path):
     spark.createDataFrame([(i, c, p, 100 + i) for i, (c, p) in enumerate(links)], "_seq bigint, commit_id bigint, parents array<bigint>, committer_time bigint").write.parquet(str(tmp_path / "commits_info.parquet"))
     want = [(a, b) for a, bs in {1: [2, 3, 4, 5, 7], 2: [4, 5, 7], 3: [4, 5, 7], 4: [5, 7], 5: [7], 6: [7], 8: [9], 9: [8]}.items() for b in bs]
     assert sorted(tuple(r) for r in QUERIES["p4_descendants"](spark, str(tmp_path)).collect()) == want
+
+
+def test_circles_with_commits_of_unknown_time(spark):
+    random.seed(8)
+    n = 60
+    parents = {i: [i - 1, random.randrange(max(0, i - 6), i)] if i else [] for i in range(n)}
+    for a, b in ((3, 9), (20, 24), (40, 55)):  # an older commit names a newer one as its parent
+        parents[a].append(b)
+    time = {i: None if i % 4 == 1 else 100 * i for i in range(n)}
+    reach = {i: set() for i in range(n)}
+    for i in range(n):
+        todo = list(parents[i])
+        while todo:
+            x = todo.pop()
+            if x not in reach[i]:
+                reach[i].add(x)
+                todo += parents[x]
+    want = sorted((min(j for j in reach[i] if i in reach[j]), i) for i in range(n) if i in reach[i])
+    links = spark.createDataFrame([(i, parents[i], time[i]) for i in range(n)], "id bigint, parents array<bigint>, potential bigint")
+    assert want and sorted(tuple(r) for r in hierarchy.circular_nodes(links).collect()) == want
+    kept = hierarchy.localise(hierarchy.edges_of(links), links).count()
+    assert kept < hierarchy.edges_of(links).count()

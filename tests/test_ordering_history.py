@@ -76,3 +76,18 @@ def test_hot_item_equals_brute_force(spark):
 def test_with_previous_keeps_other_columns(spark):
     df = spark.createDataFrame([(1, 1, "a"), (1, 2, "b")], "k int, s int, prev string")
     assert rows(ordering.with_previous(df, ["k"], ["s"], ["prev"]).select("s", "prev_prev", F.col("has_prev"))) == [(1, None, False), (2, "a", True)]
+
+
+def test_positions_of_ties_by_all_columns_and_without_keys(spark):
+    data = [(7, t, n) for t in "ba" for n in (3, 1, 2)]
+    got = ordering.positions(spark.createDataFrame(data, "a int, t string, n int"), [], ["a", "t", "n"], "pos", blocks=3)
+    assert rows(got) == sorted((7, t, n, i + 1) for i, (t, n) in enumerate(sorted((t, n) for _, t, n in data)))
+
+
+def test_first_id_after_a_lone_sentinel(spark):
+    from commitlake.operators import log
+
+    known = spark.createDataFrame([(0, "")], "id bigint, v string")
+    new = spark.createDataFrame([("x", 1), ("", 2), ("y", 3)], "v string, seq bigint")
+    assert sorted(tuple(r) for r in log.get_or_create(known, new, "v", "id", "seq").select("v", "id", "is_new").collect()) == [("", 0, False), ("x", 1, True), ("y", 2, True)]
+    assert sorted(tuple(r) for r in log.get_or_create(known.limit(0), new.limit(1), "v", "id", "seq").select("v", "id").collect()) == [("x", 0)]
