@@ -5,7 +5,7 @@ doubling, and every suffix of every evaluation passage is binary-searched in it.
 location; it is extended on its diagonal to the longest verbatim match and to the best window of ``WINDOW`` words. A passage leaked
 if a window has at most ``REPLACED`` replaced words, no two of them adjacent; by the pigeonhole principle such a window holds a
 verbatim run of at least ``SEED`` words, so the search misses none. Corpus text never leaves its partition; the passages are a
-stated query set whose size is checked.
+stated query set, searched for in blocks of bounded size.
 
 Words are runs of letters and digits in lower case, so case, punctuation, spacing, line breaks and markup do not matter. Sentences
 that several items share (instructions) are no part of an item's own passage.
@@ -17,15 +17,15 @@ empty result; items shorter than the window cannot leak; other columns of the in
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from commitlake.session import bounded_collect
+from commitlake.session import bounded_collect, cut
 
 WINDOW = 25
 REPLACED = 3
@@ -34,8 +34,8 @@ SEED = (WINDOW - REPLACED + REPLACED) // (REPLACED + 1)
 SHARD_WORDS = 2_000_000
 #: Depth in words to which suffixes are ordered; equal prefixes beyond it keep any order, matches are extended by comparison.
 ORDERED = 32
-#: Bound of the query set (evaluation items), which every task holds.
-MAX_ITEMS = 100_000
+#: Evaluation items searched for in one pass over the corpus, which every task holds; more take more passes.
+ITEMS = 100_000
 
 MARKUP = re.compile(r"</?[A-Za-z][^<>]{0,300}>|&(?:[a-z]{2,8}|#\d{1,6});|\]\([^()\s]{1,300}\)")
 WORD = re.compile(r"[^\W_]+")
@@ -46,15 +46,33 @@ def words(text: str) -> list[str]:
     return WORD.findall(MARKUP.sub(" ", text).lower())
 
 
-def own_passages(items: list[tuple[int, str]]) -> list[tuple[int, list[list[str]]]]:
-    """Each item's stretches of words between the sentences it shares with another item (of four words or more)."""
-    split = {i: [words(s) for s in SENTENCE_END.split(t or "")] for i, t in items}
-    uses = Counter(s for sentences in split.values() for s in {tuple(s) for s in sentences if len(s) >= 4})
+def sentences(text: str | None) -> list[list[str]]:
+    """The words of each sentence."""
+    return [words(x) for x in SENTENCE_END.split(text or "")]
+
+
+def with_shared(items: DataFrame) -> DataFrame:
+    """``item_id, item_text, shared``: each item with its sentences of four words or more that another item has too."""
+
+    def told(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for t in batches:
+            rows = [(i, x) for i, text in zip(t["item_id"], t["item_text"]) for x in {" ".join(w) for w in sentences(text) if len(w) >= 4}]
+            yield pd.DataFrame(rows, columns=["item_id", "sentence"])
+
+    one = items.filter("item_id is not null and item_text is not null").groupBy(F.col("item_id").cast("long").alias("item_id")).agg(F.max("item_text").alias("item_text"))
+    of_item = cut(one.mapInPandas(told, "item_id bigint, sentence string"))
+    common = of_item.groupBy("sentence").agg(F.count("*").alias("n")).filter("n > 1").select("sentence")
+    shared = of_item.join(common, "sentence", "left_semi").groupBy("item_id").agg(F.collect_set("sentence").alias("shared"))
+    return one.join(shared, "item_id", "left")
+
+
+def own_passages(items: list[tuple[int, str, list[str] | None]]) -> list[tuple[int, list[list[str]]]]:
+    """Each item's stretches of words between the sentences it shares with another item."""
     out = []
-    for i, sentences in split.items():
+    for i, text, shared in items:
         stretches: list[list[str]] = [[]]
-        for s in sentences:
-            if len(s) >= 4 and uses[tuple(s)] > 1:
+        for s in sentences(text):
+            if shared and " ".join(s) in shared:
                 stretches.append([])
             else:
                 stretches[-1].extend(s)
@@ -106,7 +124,7 @@ def _bounds(tokens: np.ndarray, order: np.ndarray, patterns: np.ndarray, upper:
 class Passages:
     """The query set: all passages in one array, 0 between them."""
 
-    def __init__(self, items: list[tuple[int, str]]):
+    def __init__(self, items: list[tuple[int, str, list[str] | None]]):
         self.vocabulary: dict[str, int] = {}
         flat, owner = [0] * WINDOW, [-1] * WINDOW
         for item, stretches in own_passages(items):
@@ -212,8 +230,19 @@ OUT_COLUMNS = ["doc_id", "item_id", "doc_word", "item_word", "longest", "replace
 
 def leaks(documents: DataFrame, items: DataFrame) -> DataFrame:
     """``doc_id, item_id, doc_word, item_word, longest, replaced``: each document with each item found in it, at its longest verbatim match."""
-    rows = bounded_collect(items.filter("item_id is not null and item_text is not null").select(F.col("item_id").cast("long").alias("item_id"), "item_text").distinct(), MAX_ITEMS)
-    passages = Passages(sorted((r.item_id, r.item_text) for r in rows))
+    asked = cut(with_shared(items))
+    blocks = -(-asked.count() // ITEMS)
+    placed = asked.withColumn("block", F.pmod(F.xxhash64("item_id"), F.lit(max(1, 2 * blocks) if blocks > 1 else 1)))
+    corpus = spread(documents.filter("doc_id is not null and text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
+    found = []
+    for block in range(2 * blocks if blocks > 1 else 1):
+        rows = bounded_collect(placed.filter(F.col("block") == block), ITEMS)
+        found.append(_search_all(corpus, Passages(sorted((r.item_id, r.item_text, r.shared) for r in rows))))
+    return reduce(DataFrame.unionByName, found)
+
+
+def _search_all(corpus: DataFrame, passages: Passages) -> DataFrame:
+    """One pass over the corpus for the passages of one block of items."""
 
     def shard(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         get, other = passages.vocabulary.get, len(passages.vocabulary) + 1
@@ -229,7 +258,6 @@ def leaks(documents: DataFrame, items: DataFrame) -> DataFrame:
                     texts, ids, size = [], [], 0
         yield search(texts, ids, passages)
 
-    corpus = spread(documents.filter("doc_id is not null and text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
     return corpus.mapInPandas(shard, ", ".join(f"{c} bigint" for c in OUT_COLUMNS))
 
 

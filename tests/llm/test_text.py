@@ -76,6 +76,16 @@ def test_sharding_does_not_change_the_result(spark, monkeypatch):
     assert rows(L.leaks(_docs(spark, texts).coalesce(1), items)) == whole and len(whole) == 10
 
 
+def test_items_in_blocks_find_the_same(spark, monkeypatch):
+    instruction = " ".join(f"do{i}" for i in range(30)) + "."
+    passages = [_words(40, s) for s in range(5)]
+    items = spark.createDataFrame([(i, "s", f"{instruction} {' '.join(p)}.") for i, p in enumerate(passages)], "item_id bigint, suite string, item_text string")
+    docs = _docs(spark, [instruction, *(" ".join(p[:30]) for p in passages)])
+    whole = rows(L.leaks(docs, items).select("doc_id", "item_id"))
+    monkeypatch.setattr(L, "ITEMS", 4)
+    assert rows(L.leaks(docs, items).select("doc_id", "item_id")) == whole == [(i + 1, i) for i in range(5)]
+
+
 COMMON = ["the", "a", "and", "to", "of", "in", "is", "der", "und"]
 
 
