@@ -33,9 +33,9 @@ MAX_ATTRIBUTES = 5_000
 TRUE_WORDS = frozenset({"true", "t", "yes", "y", "1", "on"})
 FALSE_WORDS = frozenset({"false", "f", "no", "n", "0", "off"})
 
-SPARK_TYPES = {"int": T.LongType(), "double": T.DoubleType(), "bool": T.BooleanType(), "timestamp": T.TimestampType(), "string": T.StringType(), "json": T.StringType()}
+SPARK_TYPES = {"int": T.LongType(), "double": T.DoubleType(), "bool": T.BooleanType(), "timestamp": T.TimestampNTZType(), "string": T.StringType(), "json": T.StringType()}
 NUMPY_TYPES = {"int": np.int64, "double": np.float64, "bool": np.bool_, "timestamp": np.int64, "string": object, "json": object}
-ARROW_TYPES = {"int": pa.int64(), "double": pa.float64(), "bool": pa.bool_(), "timestamp": pa.timestamp("us", "UTC"), "string": pa.string(), "json": pa.string()}
+ARROW_TYPES = {"int": pa.int64(), "double": pa.float64(), "bool": pa.bool_(), "timestamp": pa.timestamp("us"), "string": pa.string(), "json": pa.string()}
 
 WHOLE = re.compile(r"[+-]?(?:\d+|\d{1,3}(?:,\d{3})+)(?:\.0*)?", re.ASCII)
 REAL = re.compile(r"[+-]?(?:(?:\d+|\d{1,3}(?:,\d{3})+)(?:\.\d*)?|\.\d+)(?:[eE][+-]?\d+)?", re.ASCII)

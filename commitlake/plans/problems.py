@@ -118,6 +118,25 @@ l as materialized ({_LATEST}),
 e as materialized (select distinct commit_id a, p b from (select commit_id, unnest(parents) p from l) q where p in (select commit_id from l))
 """
 
+_METADATA_TYPES = {
+    "archived": "bool", "bus_factor": "int", "created": "timestamp", "default_branch": "string", "disabled": "bool", "fork": "bool", "forks": "int", "github_metadata": "json",
+    "has_wiki": "bool", "health_score": "double", "homepage": "string", "language": "string", "last_release": "timestamp", "license": "string", "open_issues": "int",
+    "pushed_at": "timestamp", "size_kb": "int", "stars": "int", "subscribers": "int", "test_coverage": "double",
+}
+_TYPED = {
+    "string": "value",
+    "int": r"case when regexp_full_match(trim(value), '[+-]?([0-9]+|[0-9]{1,3}(,[0-9]{3})+)(\.0*)?') then try_cast(regexp_replace(replace(trim(value), ',', ''), '\..*$', '') as bigint) end",
+    "double": r"case when regexp_full_match(trim(value), '[+-]?(([0-9]+|[0-9]{1,3}(,[0-9]{3})+)(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?') then try_cast(replace(trim(value), ',', '') as double) end",
+    "bool": "case when lower(trim(value)) in ('true', 't', 'yes', 'y', '1', 'on') then true when lower(trim(value)) in ('false', 'f', 'no', 'n', '0', 'off') then false end",
+    "timestamp": r"case when regexp_full_match(trim(value), '[+-]?[0-9]{1,12}(\.0*)?') then make_timestamp(cast(regexp_replace(trim(value), '\..*$', '') as bigint) * 1000000) else try_cast(replace(replace(trim(value), '/', '-'), 'Z', '') as timestamp) end",
+    "json": "case when json_valid(value) and lower(trim(value)) <> 'null' then value end",
+}
+_CELLS = """
+with m as (select x.project_id, k.metakey, k.value_type, x.value, x._seq from project_metadata x
+      join metadata_keys k on regexp_replace(lower(x.key), '[^a-z0-9]', '', 'g') = regexp_replace(lower(k.metakey), '[^a-z0-9]', '', 'g')),
+c as (select project_id, metakey, value_type, value from (select *, row_number() over (partition by project_id, metakey order by _seq desc) rn from m) q where rn = 1)
+"""
+
 _LINES = r"""
 with r as (select raw_id, coalesce(raw_line, '') l from raw_projects),
 f as (select raw_id, l, regexp_full_match(l, '(?s)[ \t\r]*("([^"\\]|\\.)*"[ \t\r]*|[^",]*)(,[ \t\r]*("([^"\\]|\\.)*"[ \t\r]*|[^",]*))*') ok,
@@ -164,6 +183,7 @@ select project_id, metakey from c where trim(value) <> '' and not case value_typ
   when 'timestamp' then regexp_full_match(trim(value), '[+-]?[0-9]{1,12}(\.0*)?') or try_cast(replace(replace(trim(value), '/', '-'), 'Z', '') as timestamp) is not null
   else json_valid(value) and lower(trim(value)) <> 'null' end
 """,
+    "p5_wide": _CELLS + "select project_id, " + ", ".join(f"max(case when metakey = '{k}' and trim(value) <> '' then {_TYPED[t]} end) as {k}" for k, t in _METADATA_TYPES.items()) + " from c group by project_id",
     "p6_found": _LINES + "select raw_id, reason from c where reason is not null",
     "p6_valid": _LINES + """
 select raw_id, try_cast(v[1] as bigint) as id, v[2] as name, nullif(v[3], '') as language, try_cast(v[4] as bigint) as created, v[5] = '1' as fork, v[6] = '1' as disabled, v[7] = '1' as archived,
